@@ -53,13 +53,13 @@ FILE_MANIFEST = T.StructType(
 
 
 def error_records(
-    df: DataFrame, dataset: str, description: str | Column, columns: Sequence[str] | None = None
+    df: DataFrame, dataset: str | Column, description: str | Column, columns: Sequence[str] | None = None
 ) -> DataFrame:
     """Four-column error records, one per row of ``df``."""
-    if isinstance(description, str):
-        description = F.lit(description)
+    dataset = F.lit(dataset) if isinstance(dataset, str) else dataset
+    description = F.lit(description) if isinstance(description, str) else description
     return df.select(
-        F.lit(dataset).alias("Data_Set_Name"),
+        dataset.alias("Data_Set_Name"),
         description.alias("Error_Description"),
         row_text(cols(columns or df.columns)).alias("Error_Record"),
         F.current_timestamp().alias("Insert_Time"),

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedwright.functions.dates import RunClock
-from feedwright.functions.text import quoted
+from feedwright.functions.text import dataset_name, quoted
 from feedwright.limits import DEFAULT_LIMITS, Limits
 from feedwright.operators.coverage import missing_weeks, unreadable_dates
 from feedwright.operators.lookups import Lookup, all_hold, failed_rows, flag_lookups, with_spelling
@@ -75,7 +75,7 @@ def judge(
 
 def clean_rows(judged: DataFrame, spec: FeedSpec, lookups: list[Lookup], *extra: str) -> DataFrame:
     kept = with_spelling(judged.where("_clean"), lookups)
-    return kept.select(*cols([*spec.columns, *extra]))
+    return kept.select(*cols([*spec.row_columns, *extra]))
 
 
 def judged_errors(judged: DataFrame, spec: FeedSpec, lookups: list[Lookup]) -> DataFrame:
@@ -88,19 +88,22 @@ def judged_errors(judged: DataFrame, spec: FeedSpec, lookups: list[Lookup]) -> D
     reason = F.when(F.col("_bad"), F.lit(BAD_KEY.format(spec.key_names))).otherwise(
         F.lit(DUPLICATE.format(",".join(spec.unique)))
     )
+    by_file = spec.merge == "file"
+    dataset = dataset_name("file") if by_file else spec.output_name
+    carried = [*spec.row_columns, "file"] if by_file else spec.row_columns
     own = rejected.where("_bad or _repeated")
     if spec.distinct_dups:
-        own = own.where("_bad").unionByName(own.where("not _bad").dropDuplicates(list(spec.columns)))
-    records = error_records(own, spec.output_name, reason, spec.columns)
+        own = own.where("_bad").unionByName(own.where("not _bad").dropDuplicates(carried))
+    records = error_records(own, dataset, reason, spec.row_columns)
     if lookups:
         tested = rejected.where("_go and not _repeated")
-        failed = failed_rows(tested, lookups, spec.columns)
+        failed = failed_rows(tested, lookups, carried)
         if spec.is_fact:
             text = F.format_string(FACT_LOOKUP.replace("{}", "%s"), F.col("_failed"))
         else:
             failed = failed.drop("_failed").distinct()
             text = F.lit(LOOKUP.format(spec.lookup_text))
-        records = union_all(records, error_records(failed, spec.output_name, text, spec.columns))
+        records = union_all(records, error_records(failed, dataset, text, spec.row_columns))
     return records.distinct() if spec.distinct_errors else records
 
 
@@ -144,6 +147,29 @@ def merge_clean(
         raise ValueError(f"{spec.name} is not merged into a snapshot")
 
 
+def _record_failure(spark: SparkSession, spec: FeedSpec, zones: Zones, clock: RunClock) -> None:
+    manifest = run_manifest(
+        spark, spec.output_name, FAILED, None, None, clock.timestamp, RunClock().timestamp
+    )
+    write_manifest(manifest, zones.run_manifests, clock.day, spec.output_name)
+
+
+def file_run_manifest(judged: DataFrame, written: DataFrame, started: str, ended: str) -> DataFrame:
+    """One manifest row per delivered file; processed counts its distinct rows."""
+    received = judged.groupBy("file").agg(F.count(F.lit(1)).alias("n"))
+    kept = written.groupBy(F.col("file").cast("string").alias("kept_file")).agg(F.count(F.lit(1)).alias("m"))
+    processed = F.coalesce(F.col("m"), F.lit(0))
+    return received.join(kept, F.col("file") == F.col("kept_file"), "left").select(
+        dataset_name("file").alias("Data_Set_Name"),
+        F.lit(PROCESSED).alias("Status"),
+        F.col("n").alias("No_Of_records_received"),
+        (F.col("n") - processed).alias("No_Of_records_rejected"),
+        processed.alias("No_Of_records_processed"),
+        F.lit(started).alias("Start_Time"),
+        F.lit(ended).alias("EndTime"),
+    )
+
+
 def enrich_frame(
     df: DataFrame,
     spec: FeedSpec,
@@ -174,15 +200,16 @@ def enrich_frame(
         errors = judged_errors(found.frame, spec, lookups)
         write_errors(errors, zones.error_records, clock.day, spec.output_name, run_id)
     except Exception:
-        manifest = run_manifest(
-            spark, spec.output_name, FAILED, None, None, clock.timestamp, RunClock().timestamp
-        )
-        write_manifest(manifest, zones.run_manifests, clock.day, spec.output_name)
+        _record_failure(spark, spec, zones, clock)
         raise
     processed = found.metrics["processed"]
-    manifest = run_manifest(
-        spark, spec.output_name, PROCESSED, found.rows, processed, clock.timestamp, RunClock().timestamp
-    )
+    if spec.merge == "file":
+        written = spark.read.parquet(zones.per_file(spec.name))
+        manifest = file_run_manifest(found.frame, written, clock.timestamp, RunClock().timestamp)
+    else:
+        manifest = run_manifest(
+            spark, spec.output_name, PROCESSED, found.rows, processed, clock.timestamp, RunClock().timestamp
+        )
     write_manifest(manifest, zones.run_manifests, clock.day, spec.output_name)
     return RunResult(
         spec.name,
@@ -206,7 +233,13 @@ def enrich(
 ) -> RunResult:
     """Bring the staged files of one run into their dataset's snapshot."""
     spec = specs[dataset]
-    return enrich_frame(read_staged(spark, spec, zones, run_id), spec, specs, zones, run_id, clock, limits)
+    clock = clock or RunClock()
+    try:
+        staged = read_staged(spark, spec, zones, run_id)
+    except Exception:
+        _record_failure(spark, spec, zones, clock)
+        raise
+    return enrich_frame(staged, spec, specs, zones, run_id, clock, limits)
 
 
 def report_coverage(

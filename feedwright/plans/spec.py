@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from feedwright.functions.dates import CONFORMED_FORMATS, reformat_date
 from feedwright.functions.text import pad_code, quoted, strip_chars
 from feedwright.operators.rules import any_present, bad_key, planogram_rule
-from feedwright.operators.schema import split_names
+from feedwright.operators.schema import normalise_names, split_names
 
 # A change to one column: its name and a function from column to column.
 Step = tuple[str, Callable[[Column], Column]]
@@ -89,6 +89,11 @@ class FeedSpec:
     def output_name(self) -> str:
         return self.output or self.name
 
+    @property
+    def row_columns(self) -> list[str]:
+        """Names during a run: per-file feeds go by their staged header, others by the declared one."""
+        return normalise_names(self.columns) if self.merge == "file" else list(self.columns)
+
     @property
     def is_fact(self) -> bool:
         return self.merge == "range"

@@ -47,7 +47,7 @@ def header_verdicts(spark: SparkSession, spec: FeedSpec, files: Sequence[File])
 
 def narrow_lines(lines: DataFrame, width: int) -> DataFrame:
     """Per file, how many lines there are and how many do not have ``width`` fields."""
-    return lines.groupBy(F.col("_metadata.file_path").alias("file")).agg(
+    return lines.groupBy(file_name().alias("file")).agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_if(field_count("value") != width).alias("off"),
     )
@@ -110,15 +110,14 @@ def _stage(spark, spec, zones, run_id, clock, every_line) -> list[tuple]:
     if spec.piped:
         counted = {r["file"]: r for r in narrow_lines(read_lines(spark, paths), spec.width).collect()}
         if every_line:
-            fits = {f.name for f in files if f.path in counted and counted[f.path]["off"] == 0}
+            fits = {f.name for f in files if f.name in counted and counted[f.name]["off"] == 0}
         else:
             fits = {f.name for f in files if first_line_fits(spark, f, spec.width)}
-        rows = {f.name: counted[f.path]["rows"] if f.path in counted else 0 for f in files}
+        rows = {n: r["rows"] for n, r in counted.items()}
     else:
         fits = {n for n, v in header_verdicts(spark, spec, files).items() if v.valid}
         found = rows_per_file(read_typed_csv(spark, paths, normalise_names(spec.columns))).collect()
-        by_path = {r["file"]: r["rows"] for r in found}
-        rows = {f.name: by_path.get(f.path, 0) for f in files}
+        rows = {r["file"]: r["rows"] for r in found}
     placed = _placed(spark, zones, spec.name)
     accepted = [f for f in files if f.name in fits and f.name not in placed]
     if accepted:
@@ -132,7 +131,7 @@ def _stage(spark, spec, zones, run_id, clock, every_line) -> list[tuple]:
             return REJECTED, NOT_PLACED
         return PROCESSED, NO_REMARK
 
-    return [(f.name, *verdict(f), rows[f.name], clock.timestamp, ended) for f in files]
+    return [(f.name, *verdict(f), rows.get(f.name, 0), clock.timestamp, ended) for f in files]
 
 
 def _write(spark: SparkSession, spec: FeedSpec, paths: list[str], target: str) -> None:

@@ -57,7 +57,7 @@ def file_name() -> Column:
 
 def rows_per_file(df: DataFrame) -> DataFrame:
     """Row count of every scanned file, in one job; ``df`` must be a fresh scan."""
-    return df.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("rows"))
+    return df.groupBy(file_name().alias("file")).agg(F.count(F.lit(1)).alias("rows"))
 
 
 def master_keys(master: DataFrame, key: str) -> DataFrame:
