@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedwright.functions.dates import saturday_of_week
+
 DASHED = ("yyyy-M-d",)
 
 
@@ -12,6 +14,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def week_ending(name: str, form: str = "yyyy-MM-dd") -> Column:
+    """Saturday of the week, the date that weekly feeds carry."""
+    return F.date_format(saturday_of_week(F.col(name)), form)
+
+
 def as_text(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
 
@@ -30,5 +37,15 @@ def lineitem(spark: SparkSession, sf_dir: str, form: str = "yyyy-MM-dd") -> Data
     return as_text(df)
 
 
+def weekly_lines(spark: SparkSession, sf_dir: str, form: str = "yyyy-MM-dd") -> DataFrame:
+    df = table(spark, sf_dir, "lineitem").withColumn("l_shipdate", week_ending("l_shipdate", form))
+    return as_text(df)
+
+
+def weekly_orders(spark: SparkSession, sf_dir: str, form: str = "yyyy-MM-dd") -> DataFrame:
+    df = table(spark, sf_dir, "orders").withColumn("o_orderdate", week_ending("o_orderdate", form))
+    return as_text(df)
+
+
 def customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_text(table(spark, sf_dir, "customer"))

@@ -3,27 +3,28 @@
 from __future__ import annotations
 
 
-def orders_as(form: str, where: str = "true") -> str:
+def orders_as(form: str, where: str = "true", day: str = "o_orderdate") -> str:
     return f"""
         SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
                o_orderstatus, CAST(o_totalprice AS VARCHAR) AS o_totalprice,
-               strftime(o_orderdate, '{form}') AS o_orderdate, o_orderpriority
+               strftime({day}, '{form}') AS o_orderdate, o_orderpriority
         FROM orders WHERE {where}"""
 
 
-def lines_as(form: str) -> str:
+def lines_as(form: str, day: str = "l_shipdate") -> str:
     return f"""
         SELECT CAST(l_orderkey AS VARCHAR) AS l_orderkey, CAST(l_partkey AS VARCHAR) AS l_partkey,
                CAST(l_suppkey AS VARCHAR) AS l_suppkey, CAST(l_linenumber AS VARCHAR) AS l_linenumber,
                CAST(l_quantity AS VARCHAR) AS l_quantity, CAST(l_extendedprice AS VARCHAR) AS l_extendedprice,
                CAST(l_discount AS VARCHAR) AS l_discount, CAST(l_tax AS VARCHAR) AS l_tax,
-               l_returnflag, l_linestatus, strftime(l_shipdate, '{form}') AS l_shipdate
+               l_returnflag, l_linestatus, strftime({day}, '{form}') AS l_shipdate
         FROM lineitem"""
 
 
 DASHED = "%Y-%m-%d"
 SLASHED = "%m/%d/%Y"
 PACKED = "%Y%m%d"
+WEEK_ENDING = "(CAST(date_trunc('week', {}) AS DATE) + 5)"
 
 CUSTOMER = """
     SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
@@ -120,7 +121,7 @@ LINE_TEXT = (
 
 def lines_checked(zero: str) -> str:
     return f"""
-    lines AS ({lines_as(DASHED)}),
+    lines AS ({lines_as(DASHED, WEEK_ENDING.format("l_shipdate"))}),
     delivery AS (
       SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, '0' AS l_quantity, l_extendedprice, l_returnflag,
              CASE WHEN l_linestatus = 'O' THEN replace(l_shipdate, '-0', '-9') ELSE l_shipdate END AS l_shipdate
@@ -136,7 +137,7 @@ def lines_checked(zero: str) -> str:
              l_orderkey IN (SELECT CAST(o_orderkey AS VARCHAR) FROM orders WHERE o_orderstatus <> 'P' {zero and 'AND o_orderkey <> 0'}) AS ok_order
       FROM conformed),
     clean AS (SELECT {LINE_COLUMNS} FROM checked WHERE NOT bad AND ok_part AND ok_supp AND ok_order),
-    hist AS (SELECT {LINE_COLUMNS} FROM ({lines_as(SLASHED)})),
+    hist AS (SELECT {LINE_COLUMNS} FROM ({lines_as(SLASHED, WEEK_ENDING.format("l_shipdate"))})),
     bounds AS (SELECT min(strptime(l_shipdate, '{SLASHED}')) AS lo, max(strptime(l_shipdate, '{SLASHED}')) AS hi
                FROM clean),
     kept AS (SELECT hist.* FROM hist, bounds
@@ -302,7 +303,7 @@ ORACLE: dict[str, str] = {
                (SELECT count(*) FROM customer) AS off_rows""",
     "text_line_sink": orders_as(DASHED),
     "nested_file_scan": """
-        SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, p_type, CAST(p_size AS VARCHAR) AS p_size,
+        SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, CAST(p_size AS VARCHAR) AS p_size,
                CAST(p_retailprice AS VARCHAR) AS p_retailprice FROM part""",
     "master_run": f"""
         WITH {CUSTOMER_CHECKED}, good AS (SELECT * FROM conformed WHERE n = 1)
@@ -336,7 +337,13 @@ ORACLE: dict[str, str] = {
     "fact_run_in_folders": f"WITH {lines_checked('zero')} SELECT * FROM kept UNION ALL SELECT DISTINCT * FROM clean",
     "fact_run_increment": f"WITH {lines_checked('zero')} SELECT * FROM clean",
     "fact_run_coverage": "",
-    "snapshot_restatement": RESTATED,
+    "snapshot_restatement": f"""
+        WITH hist AS ({orders_as(SLASHED, day=WEEK_ENDING.format("o_orderdate"))}),
+        sent AS (SELECT *, CAST(strptime(o_orderdate, '{SLASHED}') AS DATE) AS d FROM hist),
+        clean AS (SELECT * FROM sent WHERE d BETWEEN DATE '2001-05-12' AND DATE '2001-06-16' AND o_orderstatus = 'F'),
+        bounds AS (SELECT min(d) AS lo, max(d) AS hi FROM clean)
+        SELECT sent.* EXCLUDE (d) FROM sent, bounds WHERE d < lo OR d > hi
+        UNION SELECT * EXCLUDE (d) FROM clean""",
     "increment_sink": LATE,
     "per_file_sink": "SELECT DISTINCT event_type AS file, user_id, props FROM events",
 }

@@ -8,7 +8,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.feeds import DASHED, as_text, customer, day_text, lineitem, orders, table
+from checks.feeds import (
+    DASHED,
+    as_text,
+    customer,
+    day_text,
+    lineitem,
+    orders,
+    table,
+    weekly_lines,
+    weekly_orders,
+)
 from feedwright.functions import dates as d
 from feedwright.functions import text as tx
 from feedwright.operators import buckets, coverage, merge, records, rules, schema, setops, unique
@@ -599,8 +609,8 @@ def text_line_sink(spark, sf):
 def nested_file_scan(spark, sf):
     path = scratch_path(spark, "nested")
     df = as_text(table(spark, sf, "part"))
-    df.withColumn("size", F.col("p_size")).write.partitionBy("p_brand", "size").csv(path, sep="|")
-    names = [c for c in df.columns if c != "p_brand"]
+    df.write.partitionBy("p_brand", "p_type").csv(path, sep="|")
+    names = [c for c in df.columns if c not in ("p_brand", "p_type")]
     return read_piped(spark, path, names, nested=True)
 
 
@@ -679,7 +689,7 @@ def returned_lines(spark, sf):
     """Lines returned since 2001 with their quantity taken to zero; open ones carry a broken date."""
     broken = F.expr("case when l_linestatus = 'O' then replace(l_shipdate, '-0', '-9') else l_shipdate end")
     return (
-        lineitem(spark, sf)
+        weekly_lines(spark, sf)
         .where("l_returnflag = 'R' and l_shipdate >= '2001-01-01'")
         .withColumns({"l_quantity": F.lit("0"), "l_shipdate": broken})
         .select(*line_spec().columns)
@@ -687,7 +697,7 @@ def returned_lines(spark, sf):
 
 
 def past_lines(spark, sf):
-    return lineitem(spark, sf, "MM/dd/yyyy").select(*line_spec().columns)
+    return weekly_lines(spark, sf, "MM/dd/yyyy").select(*line_spec().columns)
 
 
 def judged_lines(spark, sf):
@@ -758,8 +768,10 @@ def snapshot_restatement(spark, sf):
     day = merge.feed_day("o_orderdate")
     names = table(spark, sf, "orders").columns
     snapshot = Snapshot(spark, scratch_path(spark, "snapshot"), names, day)
-    snapshot.replace(orders(spark, sf, "MM/dd/yyyy"))
-    late = _late_orders(spark, sf)
+    snapshot.replace(weekly_orders(spark, sf, "MM/dd/yyyy"))
+    late = weekly_orders(spark, sf, "MM/dd/yyyy").where(
+        day.between("2001-05-12", "2001-06-16") & (F.col("o_orderstatus") == "F")
+    )
     snapshot.replace_dates(late, *merge.date_bounds(late, day))
     return snapshot.read()
 

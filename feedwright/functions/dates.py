@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -19,10 +20,38 @@ CONFORMED = "MM/dd/yyyy"
 CONFORMED_FORMATS = ("M/d/yyyy",)
 
 
+# Least and most digits that each run of letters in a numeric date format reads.
+_DIGITS = {"yyyy": (4, 4), "yy": (2, 2), "MM": (2, 2), "dd": (2, 2), "M": (1, 2), "d": (1, 2)}
+
+
+def text_frame(form: str) -> tuple[int, int, list[str]] | None:
+    """Shortest and longest text a numeric date format reads, and its separators; None for other formats."""
+    runs = [m.group() for m in re.finditer(r"([A-Za-z])\1*|[^A-Za-z]", form)]
+    if any(r[0].isalpha() and r not in _DIGITS for r in runs):
+        return None
+    sizes = [_DIGITS.get(r, (1, 1)) for r in runs]
+    separators = sorted({r for r in runs if not r.isalpha()})
+    return sum(s[0] for s in sizes), sum(s[1] for s in sizes), separators
+
+
+def _parsed(c: Column, form: str) -> Column:
+    # The parser throws inside for a text it cannot read, which costs many times
+    # a match, and unreadable dates come in bulk: a wrong length or a missing
+    # separator is found first, at almost no cost.
+    parsed, frame = F.try_to_date(c, form), text_frame(form)
+    if frame is None:
+        return parsed
+    shortest, longest, separators = frame
+    fits = F.octet_length(c).between(shortest, longest)
+    for separator in separators:
+        fits = fits & F.contains(c, F.lit(separator))
+    return F.when(fits, parsed)
+
+
 def parse_date(c: Column | str, *formats: str) -> Column:
     """A date from the first format that fits; null when none does."""
     c = as_column(c)
-    return F.coalesce(*[F.try_to_date(c, f) for f in formats])
+    return F.coalesce(*[_parsed(c, f) for f in formats])
 
 
 def reformat_date(c: Column | str, *formats: str, unparsable: str = UNPARSABLE) -> Column:
@@ -32,8 +61,7 @@ def reformat_date(c: Column | str, *formats: str, unparsable: str = UNPARSABLE)
 
 def epoch_millis(c: Column | str, *formats: str) -> Column:
     """Milliseconds since 1970 at the start of the day; 0 when unreadable."""
-    c = as_column(c)
-    parsed = F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats])
+    parsed = parse_date(c, *formats).cast("timestamp")
     return F.coalesce(F.unix_millis(parsed), F.lit(0).cast("bigint"))
 
 

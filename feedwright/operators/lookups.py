@@ -146,10 +146,14 @@ def failed_labels(lookups: Sequence[Lookup]) -> Column:
 
 def failed_rows(flagged: DataFrame, lookups: Sequence[Lookup], columns: Sequence[str]) -> DataFrame:
     """Distinct rows per failed lookup, its label in ``_failed``."""
+    flags = [F.col(_ok(i)) for i in range(len(lookups))]
+    # The flags follow from the row, so rows are made distinct before each of
+    # them turns into one row per failed lookup.
     return (
         flagged.where(~all_hold(len(lookups)))
-        .select(*cols(columns), F.explode(failed_labels(lookups)).alias("_failed"))
+        .select(*cols(columns), *flags)
         .distinct()
+        .select(*cols(columns), F.explode(failed_labels(lookups)).alias("_failed"))
     )
 
 

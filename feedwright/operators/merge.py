@@ -93,6 +93,7 @@ def replace_range(
     day: Column,
     scope: str = "range",
     bounds: tuple[dt.date | None, dt.date | None] | None = None,
+    distinct: bool = True,
 ) -> DataFrame:
     """Clean rows replace history over the dates from their first to their last.
 
@@ -100,6 +101,9 @@ def replace_range(
     every history row inside the bounds, delivered date or not;
     ``scope='dates'`` drops only delivered dates. History rows without a
     readable date stay, and an empty delivery changes nothing.
+
+    ``distinct=False`` leaves history out of the final distinct; it is right
+    when history holds each row once, and then history is not shuffled.
     """
     if scope == "dates":
         delivered = clean.select(day.alias("_k0")).where("_k0 is not null").distinct()
@@ -110,7 +114,7 @@ def replace_range(
         kept = history.where(outside_range(day, lo, hi))
     else:
         raise ValueError(f"scope must be 'range' or 'dates', not {scope!r}")
-    return union_distinct(kept, clean)
+    return union_distinct(kept, clean) if distinct else kept.unionByName(clean.distinct())
 
 
 def per_file(clean: DataFrame) -> DataFrame:

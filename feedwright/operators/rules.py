@@ -69,7 +69,8 @@ def outside_range(day: Column, lo: object, hi: object) -> Column:
     """
     if lo is None or hi is None:
         return F.lit(True)
-    return day.isNull() | (day < F.lit(lo)) | (day > F.lit(hi))
+    # One use of ``day``: it is usually parsed from text, and an OR would parse it again.
+    return ~F.coalesce(day.between(F.lit(lo), F.lit(hi)), F.lit(False))
 
 
 def within_half_open(value: Column, lo: Column, hi: Column) -> Column:

@@ -114,3 +114,21 @@ def test_saturdays(spark, day, of_week, on_or_before):
 def test_run_clock():
     c = dates.RunClock(dt.datetime(2017, 9, 20, 10, 0, 0))
     assert (c.day, c.millis, c.timestamp) == ("20170920", "1505901600000", "2017-09-20 10:00:00.000")
+
+
+@pytest.mark.parametrize(
+    "form, frame",
+    [
+        ("yyyy-M-d", (8, 10, ["-"])),
+        ("yyyyMMdd", (8, 8, [])),
+        ("M/d/yy", (6, 8, ["/"])),
+        ("dd MMM yyyy", None),
+        ("yyyy-MM-dd HH:mm", None),
+    ],
+)
+def test_text_frame(form, frame):
+    assert dates.text_frame(form) == frame
+
+
+def test_formats_with_words_still_parse(spark):
+    assert one(spark, "03 Aug 2017", dates.reformat_date("c", "dd MMM yyyy")) == "08/03/2017"
