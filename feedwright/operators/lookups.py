@@ -69,33 +69,38 @@ def _unique(keys: DataFrame, lookup: Lookup) -> DataFrame:
     return keys.distinct().withColumn("_hit", F.lit(True))
 
 
-def _attach_large(df: DataFrame, lookup: Lookup, keys: DataFrame, feed: Column, limits: Limits) -> DataFrame:
+def _attach_large(
+    df: DataFrame, source: DataFrame, lookup: Lookup, keys: DataFrame, feed: Column, limits: Limits
+) -> DataFrame:
     """Look up in a master that is too large to broadcast.
 
-    Only the feed's distinct keys meet the master; they are narrow and combined
-    before their shuffle. Whatever of the result is small enough goes back to
-    the wide rows by broadcast: all keys, or just the orphans. Failing both,
-    the rows of hot keys are split off and the rest is shuffled.
+    Only the distinct keys of ``source``, the feed before any lookup, meet the
+    master; they are narrow and combined before their shuffle. If they are few,
+    the master is filtered by them where it lies. Otherwise the orphans go back
+    to the wide rows by broadcast if those are few. Failing both, the rows of
+    hot keys are split off and the rest is shuffled.
     """
-    counted = df.groupBy(feed.alias("_k0")).agg(F.count(F.lit(1)).alias("_n"))
-    known = _unique(keys, lookup).withColumnRenamed("_k0", "_m0")
-    judged = settle(
-        counted.join(known, F.col("_k0") == F.col("_m0"), "left").drop("_m0"),
-        "key-verdicts",
+    counted = settle(
+        source.groupBy(feed.alias("_k0")).agg(F.count(F.lit(1)).alias("_n")),
+        "feed-keys",
         {"members": F.coalesce(F.sum("_n"), F.lit(0))},
         sized=True,
     )
-    table = judged.frame.drop("_n")
-    if limits.allow(judged.rows, judged.bytes):
-        return attach(df, table, [feed], small=True, null_safe=True)
+    if limits.allow(counted.rows, counted.bytes):
+        few = F.broadcast(counted.frame.select("_k0"))
+        return attach(df, _unique(keys.join(few, "_k0", "left_semi"), lookup), [feed], small=True)
+    known = _unique(keys, lookup).withColumnRenamed("_k0", "_m0")
+    judged = settle(
+        counted.frame.join(known, F.col("_k0") == F.col("_m0"), "left").drop("_m0"), "key-verdicts"
+    ).frame
     if not lookup.take_spelling:
-        orphans = judged.frame.where("_hit is null").select("_k0", F.lit(True).alias("_orphan"))
+        orphans = judged.where("_hit is null").select("_k0", F.lit(True).alias("_orphan"))
         (rows, size), = measure([orphans])
         if limits.allow(rows, size):
             out = attach(df, orphans, [feed], small=True, null_safe=True)
             return out.withColumn("_hit", F.col("_orphan").isNull()).drop("_orphan")
-    hot = judged.frame.where(F.col("_n") * limits.hot_share > judged.metrics["members"]).drop("_n")
-    return attach(df, table, [feed], small=False, hot=hot, null_safe=True)
+    hot = judged.where(F.col("_n") * limits.hot_share > counted.metrics["members"]).drop("_n")
+    return attach(df, judged.drop("_n"), [feed], small=False, hot=hot, null_safe=True)
 
 
 def flag_lookups(df: DataFrame, lookups: Sequence[Lookup], limits: Limits = DEFAULT_LIMITS) -> DataFrame:
@@ -104,13 +109,14 @@ def flag_lookups(df: DataFrame, lookups: Sequence[Lookup], limits: Limits = DEFA
     Each lookup is tested for every row, whatever the others say. One frame of
     flags serves both the kept rows and the errors. A null key never holds.
     """
+    source = df
     masters = [_master_keys(df, lookup) for lookup in lookups]
     for i, (lookup, keys, size) in enumerate(zip(lookups, masters, measure(masters))):
         feed, _ = _sides(df, lookup)
         if limits.allow(*size):
             df = attach(df, _unique(keys, lookup), [feed], small=True)
         else:
-            df = _attach_large(df, lookup, keys, feed, limits)
+            df = _attach_large(df, source, lookup, keys, feed, limits)
         df = df.withColumn(_ok(i), F.coalesce(F.col("_hit"), F.lit(False))).drop("_hit")
         if lookup.take_spelling:
             df = df.withColumnRenamed("_word", _spelling(i))

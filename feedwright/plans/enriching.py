@@ -32,6 +32,7 @@ from feedwright.operators.unique import flag_repeated
 from feedwright.plans.spec import FeedSpec, apply_steps
 from feedwright.plans.staging import read_staged
 from feedwright.plans.zones import Zones
+from feedwright.session import scratch_run
 from feedwright.sources.sinks import write_errors, write_increment, write_manifest, write_per_file
 from feedwright.sources.snapshot import Snapshot
 
@@ -188,38 +189,35 @@ def enrich_frame(
     spark = df.sparkSession
     clock = clock or RunClock()
     try:
-        lookups = bind_lookups(spec, read_masters(spark, spec, specs, zones))
-        extra = ["file"] if spec.merge == "file" else []
-        found = settle_judged(judge(df, spec, lookups, limits), spec)
-        clean = clean_rows(found.frame, spec, lookups, *extra)
-        if spec.merge == "file":
-            write_per_file(per_file(clean), zones.per_file(spec.name))
-        else:
-            write_increment(clean, zones.increments(spec.name), run_id)
-            merge_clean(clean, spec, snapshot_of(spark, spec, zones), found, limits)
-        errors = judged_errors(found.frame, spec, lookups)
-        write_errors(errors, zones.error_records, clock.day, spec.output_name, run_id)
+        with scratch_run(spark):
+            return _enrich(df, spec, specs, zones, run_id, clock, limits)
     except Exception:
         _record_failure(spark, spec, zones, clock)
         raise
-    processed = found.metrics["processed"]
+
+
+def _enrich(df, spec, specs, zones, run_id, clock, limits) -> RunResult:
+    spark = df.sparkSession
+    lookups = bind_lookups(spec, read_masters(spark, spec, specs, zones))
+    found = settle_judged(judge(df, spec, lookups, limits), spec)
+    clean = clean_rows(found.frame, spec, lookups, *(["file"] if spec.merge == "file" else []))
+    if spec.merge == "file":
+        write_per_file(per_file(clean), zones.per_file(spec.name))
+    else:
+        write_increment(clean, zones.increments(spec.name), run_id)
+        merge_clean(clean, spec, snapshot_of(spark, spec, zones), found, limits)
+    errors = judged_errors(found.frame, spec, lookups)
+    write_errors(errors, zones.error_records, clock.day, spec.output_name, run_id)
+    received, processed = found.rows, found.metrics["processed"]
+    started, ended = clock.timestamp, RunClock().timestamp
     if spec.merge == "file":
         written = spark.read.parquet(zones.per_file(spec.name))
-        manifest = file_run_manifest(found.frame, written, clock.timestamp, RunClock().timestamp)
+        manifest = file_run_manifest(found.frame, written, started, ended)
     else:
-        manifest = run_manifest(
-            spark, spec.output_name, PROCESSED, found.rows, processed, clock.timestamp, RunClock().timestamp
-        )
+        manifest = run_manifest(spark, spec.output_name, PROCESSED, received, processed, started, ended)
     write_manifest(manifest, zones.run_manifests, clock.day, spec.output_name)
-    return RunResult(
-        spec.name,
-        PROCESSED,
-        found.rows,
-        processed,
-        found.rows - processed,
-        found.metrics.get("first_day"),
-        found.metrics.get("last_day"),
-    )
+    first_day, last_day = found.metrics.get("first_day"), found.metrics.get("last_day")
+    return RunResult(spec.name, PROCESSED, received, processed, received - processed, first_day, last_day)
 
 
 def enrich(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,9 +41,15 @@ def stripped(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.select(*[strip_quotes(F.col(quoted(n))).alias(n) for n in names])
 
 
+def _for_files(fn, files: Sequence[File]) -> dict:
+    """``fn`` of each file by name; the small jobs run side by side."""
+    with ThreadPoolExecutor(8) as pool:
+        return dict(zip([f.name for f in files], pool.map(fn, files)))
+
+
 def header_verdicts(spark: SparkSession, spec: FeedSpec, files: Sequence[File]) -> dict[str, HeaderVerdict]:
     """Verdict per file name; only the first line of each file is read."""
-    return {f.name: check_header(spec.columns, read_headed_csv(spark, f.path).columns) for f in files}
+    return _for_files(lambda f: check_header(spec.columns, read_headed_csv(spark, f.path).columns), files)
 
 
 def narrow_lines(lines: DataFrame, width: int) -> DataFrame:
@@ -106,22 +113,26 @@ def _stage(spark, spec, zones, run_id, clock, every_line) -> list[tuple]:
     files = glob_files(spark, zones.raw(spec.raw_glob), spec.exclude)
     if not files:
         return [(spec.raw_glob, REJECTED, NO_FILE, None, clock.timestamp, RunClock().timestamp)]
-    paths = [f.path for f in files]
+    if len({f.name for f in files}) < len(files):
+        raise ValueError(f"{spec.raw_glob} finds several files of one name")
+    placed = _placed(spark, zones, spec.name)
     if spec.piped:
-        counted = {r["file"]: r for r in narrow_lines(read_lines(spark, paths), spec.width).collect()}
+        counted = {r["file"]: r for r in narrow_lines(read_lines(spark, [f.path for f in files]), spec.width).collect()}
         if every_line:
             fits = {f.name for f in files if f.name in counted and counted[f.name]["off"] == 0}
         else:
-            fits = {f.name for f in files if first_line_fits(spark, f, spec.width)}
+            first = _for_files(lambda f: first_line_fits(spark, f, spec.width), files)
+            fits = {n for n, fit in first.items() if fit}
         rows = {n: r["rows"] for n, r in counted.items()}
     else:
         fits = {n for n, v in header_verdicts(spark, spec, files).items() if v.valid}
-        found = rows_per_file(read_typed_csv(spark, paths, normalise_names(spec.columns))).collect()
-        rows = {r["file"]: r["rows"] for r in found}
-    placed = _placed(spark, zones, spec.name)
+        rows = {}
     accepted = [f for f in files if f.name in fits and f.name not in placed]
+    target = zones.staged_run(spec.name, run_id)
     if accepted:
-        _write(spark, spec, [f.path for f in accepted], zones.staged_run(spec.name, run_id))
+        _write(spark, spec, [f.path for f in accepted], target)
+    if not spec.piped:
+        rows = _headed_rows(spark, spec, accepted, [f for f in files if f not in accepted], target)
     ended = RunClock().timestamp
 
     def verdict(f: File) -> tuple[str, str]:
@@ -134,6 +145,18 @@ def _stage(spark, spec, zones, run_id, clock, every_line) -> list[tuple]:
     return [(f.name, *verdict(f), rows.get(f.name, 0), clock.timestamp, ended) for f in files]
 
 
+def _headed_rows(spark, spec, accepted, refused, target) -> dict[str, int]:
+    """Rows per file: of accepted files from what was staged, of the others from the raw text."""
+    counts = []
+    if accepted:
+        staged = spark.read.schema("file string").parquet(target)
+        counts += staged.where(F.col("file").isin([f.name for f in accepted])).groupBy("file").count().collect()
+    if refused:
+        raw = read_typed_csv(spark, [f.path for f in refused], normalise_names(spec.columns))
+        counts += rows_per_file(raw).collect()
+    return {r[0]: r[1] for r in counts}
+
+
 def _write(spark: SparkSession, spec: FeedSpec, paths: list[str], target: str) -> None:
     if spec.piped:
         lines = read_lines(spark, paths).select(strip_line_quotes("value").alias("value"), file_name().alias("file"))

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -47,6 +50,27 @@ def scratch_root(spark: SparkSession) -> str:
     return folder
 
 
+_run_folder: ContextVar[str | None] = ContextVar("run_folder", default=None)
+
+
 def scratch_path(spark: SparkSession, purpose: str) -> str:
-    """A fresh path below the scratch root."""
-    return f"{scratch_root(spark)}/feedwright/{purpose}-{uuid.uuid4().hex}"
+    """A fresh path below the scratch folder of the current run, or below the root."""
+    folder = _run_folder.get() or f"{scratch_root(spark)}/feedwright"
+    return f"{folder}/{purpose}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch_run(spark: SparkSession) -> Iterator[str]:
+    """Keep all scratch tables of a block in one folder and remove it at the end.
+
+    Frames that read those tables must not be used after the block.
+    """
+    from feedwright.sources.files import delete_folder
+
+    folder = scratch_path(spark, "run")
+    token = _run_folder.set(folder)
+    try:
+        yield folder
+    finally:
+        _run_folder.reset(token)
+        delete_folder(spark, folder)

@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedwright.operators.schema import cols, text_schema
-from feedwright.operators.setops import union_all
 from feedwright.sources.files import delete_folder, exists, list_names
 from feedwright.sources.readers import empty_frame
 
@@ -125,8 +124,3 @@ class Snapshot:
         for folder in old:
             delete_folder(self.spark, folder)
         return old
-
-
-def gather(frames: Sequence[DataFrame]) -> DataFrame:
-    """Error frames of several checks as one."""
-    return union_all(*frames)

@@ -142,6 +142,18 @@ def test_lookup_takes_master_spelling_without_multiplying(text, sorted_rows, lim
     assert sorted_rows(lookups.failed_rows(flagged, look, df.columns)) == [("nowhere", "3", "geo")]
 
 
+@pytest.mark.parametrize("spelling", [False, True])
+def test_large_master_and_few_feed_keys(spark, text, sorted_rows, spelling):
+    df = text(["k"], [("A1",), ("a2",), ("zz",), (None,)] + [("a3",)] * 5)
+    master = spark.range(50).select(F.concat(F.lit("a"), F.col("id").cast("string")).alias("m"))
+    look = [Lookup("k", master.unionByName(master), "m", ignore_case=True, take_spelling=spelling)]
+    flagged = lookups.flag_lookups(df, look, Limits(rows=10))
+    kept = lookups.kept_rows(flagged, look, df.columns)
+    first = "a1" if spelling else "A1"
+    assert sorted_rows(kept) == sorted([(first,), ("a2",)] + [("a3",)] * 5, key=repr)
+    assert sorted_rows(lookups.failed_rows(flagged, look, ["k"])) == [("zz", "k"), (None, "k")]
+
+
 def test_lookup_across_types(spark, text):
     df = spark.createDataFrame([(1,), (2,)], "k bigint")
     assert lookups.keep_known(df, Lookup("k", text(["m"], [("1",), ("x",)]), "m")).count() == 1

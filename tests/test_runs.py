@@ -262,6 +262,17 @@ def test_failed_run_leaves_a_manifest(spark, tmp_path, specs, zones, clock):
     assert row["Status"] == "Exception Occured while Processing" and row["No_Of_records_received"] is None
 
 
+def test_scratch_tables_go_with_their_run(spark):
+    from feedwright.operators.sizing import settle
+    from feedwright.session import scratch_path, scratch_run
+    from feedwright.sources.files import exists
+
+    with scratch_run(spark) as folder:
+        found = settle(spark.range(3), "x", sized=True)
+        assert (found.rows, found.bytes) == (3, 3) and exists(spark, folder)
+    assert not exists(spark, folder) and folder not in scratch_path(spark, "y")
+
+
 def test_snapshot_versions(spark, tmp_path, text):
     snap = Snapshot(spark, str(tmp_path / "s"), ["a"])
     assert snap.read().count() == 0 and snap.current() is None
