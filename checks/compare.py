@@ -22,12 +22,25 @@ TABLES = (
 ).split()
 
 
-def sql_rows(sf_dir: str, sql: str) -> tuple[list[str], list[tuple]]:
+# Types that mean the same on both sides.
+SAME_TYPE = {
+    "VARCHAR": "string",
+    "BIGINT": "bigint",
+    "INTEGER": "int",
+    "DOUBLE": "double",
+    "DATE": "date",
+    "TIMESTAMP": "timestamp_ntz",
+    "BOOLEAN": "boolean",
+}
+
+
+def sql_rows(sf_dir: str, sql: str) -> tuple[list[tuple[str, str]], list[tuple]]:
+    """Columns with their Spark type name, and rows."""
     con = duckdb.connect()
     for name in TABLES:
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
-    cursor = con.execute(sql)
-    return [c[0] for c in cursor.description], cursor.fetchall()
+    types = [(c[0], SAME_TYPE.get(c[1], c[1])) for c in con.execute(f"DESCRIBE {sql}").fetchall()]
+    return types, con.execute(sql).fetchall()
 
 
 def ordered(columns: list[str], rows: list[tuple]) -> Counter:
@@ -40,9 +53,9 @@ def compare(spark, sf_dir: str, name: str) -> str | None:
     got = REGISTERED[name](spark, sf_dir)
     found = ordered(got.columns, [tuple(r) for r in got.collect()])
     columns, rows = sql_rows(sf_dir, ORACLE[name])
-    if sorted(columns) != sorted(got.columns):
-        return f"columns {got.columns} against {columns}"
-    wanted = ordered(columns, rows)
+    if sorted(columns) != sorted(got.dtypes):
+        return f"columns {sorted(got.dtypes)} against {sorted(columns)}"
+    wanted = ordered([c[0] for c in columns], rows)
     if found == wanted:
         return None
     extra, missing = list((found - wanted).items()), list((wanted - found).items())
