@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedwright.functions.dates import saturday_of_week
-
 DASHED = ("yyyy-M-d",)
 
 
@@ -14,9 +12,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def week_ending(name: str, form: str = "yyyy-MM-dd") -> Column:
-    """Saturday of the week, the date that weekly feeds carry."""
-    return F.date_format(saturday_of_week(F.col(name)), form)
+def month_ending(name: str, form: str = "yyyy-MM-dd") -> Column:
+    """Last day of the month, the date that periodic feeds carry."""
+    return F.date_format(F.last_day(F.col(name)), form)
 
 
 def as_text(df: DataFrame) -> DataFrame:
@@ -37,13 +35,13 @@ def lineitem(spark: SparkSession, sf_dir: str, form: str = "yyyy-MM-dd") -> Data
     return as_text(df)
 
 
-def weekly_lines(spark: SparkSession, sf_dir: str, form: str = "yyyy-MM-dd") -> DataFrame:
-    df = table(spark, sf_dir, "lineitem").withColumn("l_shipdate", week_ending("l_shipdate", form))
+def monthly_lines(spark: SparkSession, sf_dir: str, form: str = "yyyy-MM-dd") -> DataFrame:
+    df = table(spark, sf_dir, "lineitem").withColumn("l_shipdate", month_ending("l_shipdate", form))
     return as_text(df)
 
 
-def weekly_orders(spark: SparkSession, sf_dir: str, form: str = "yyyy-MM-dd") -> DataFrame:
-    df = table(spark, sf_dir, "orders").withColumn("o_orderdate", week_ending("o_orderdate", form))
+def monthly_orders(spark: SparkSession, sf_dir: str, form: str = "yyyy-MM-dd") -> DataFrame:
+    df = table(spark, sf_dir, "orders").withColumn("o_orderdate", month_ending("o_orderdate", form))
     return as_text(df)
 
 

@@ -24,7 +24,7 @@ def lines_as(form: str, day: str = "l_shipdate") -> str:
 DASHED = "%Y-%m-%d"
 SLASHED = "%m/%d/%Y"
 PACKED = "%Y%m%d"
-WEEK_ENDING = "(CAST(date_trunc('week', {}) AS DATE) + 5)"
+MONTH_ENDING = "last_day(CAST({} AS DATE))"
 
 CUSTOMER = """
     SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
@@ -121,7 +121,7 @@ LINE_TEXT = (
 
 def lines_checked(zero: str) -> str:
     return f"""
-    lines AS ({lines_as(DASHED, WEEK_ENDING.format("l_shipdate"))}),
+    lines AS ({lines_as(DASHED, MONTH_ENDING.format("l_shipdate"))}),
     delivery AS (
       SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, '0' AS l_quantity, l_extendedprice, l_returnflag,
              CASE WHEN l_linestatus = 'O' THEN replace(l_shipdate, '-0', '-9') ELSE l_shipdate END AS l_shipdate
@@ -137,7 +137,7 @@ def lines_checked(zero: str) -> str:
              l_orderkey IN (SELECT CAST(o_orderkey AS VARCHAR) FROM orders WHERE o_orderstatus <> 'P' {zero and 'AND o_orderkey <> 0'}) AS ok_order
       FROM conformed),
     clean AS (SELECT {LINE_COLUMNS} FROM checked WHERE NOT bad AND ok_part AND ok_supp AND ok_order),
-    hist AS (SELECT {LINE_COLUMNS} FROM ({lines_as(SLASHED, WEEK_ENDING.format("l_shipdate"))})),
+    hist AS (SELECT {LINE_COLUMNS} FROM ({lines_as(SLASHED, MONTH_ENDING.format("l_shipdate"))})),
     bounds AS (SELECT min(strptime(l_shipdate, '{SLASHED}')) AS lo, max(strptime(l_shipdate, '{SLASHED}')) AS hi
                FROM clean),
     kept AS (SELECT hist.* FROM hist, bounds
@@ -338,9 +338,9 @@ ORACLE: dict[str, str] = {
     "fact_run_increment": f"WITH {lines_checked('zero')} SELECT * FROM clean",
     "fact_run_coverage": "",
     "snapshot_restatement": f"""
-        WITH hist AS ({orders_as(SLASHED, day=WEEK_ENDING.format("o_orderdate"))}),
+        WITH hist AS ({orders_as(SLASHED, day=MONTH_ENDING.format("o_orderdate"))}),
         sent AS (SELECT *, CAST(strptime(o_orderdate, '{SLASHED}') AS DATE) AS d FROM hist),
-        clean AS (SELECT * FROM sent WHERE d BETWEEN DATE '2001-05-12' AND DATE '2001-06-16' AND o_orderstatus = 'F'),
+        clean AS (SELECT * FROM sent WHERE d IN (DATE '2001-04-30', DATE '2001-06-30') AND o_orderstatus = 'F'),
         bounds AS (SELECT min(d) AS lo, max(d) AS hi FROM clean)
         SELECT sent.* EXCLUDE (d) FROM sent, bounds WHERE d < lo OR d > hi
         UNION SELECT * EXCLUDE (d) FROM clean""",

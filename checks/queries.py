@@ -14,10 +14,10 @@ from checks.feeds import (
     customer,
     day_text,
     lineitem,
+    monthly_lines,
+    monthly_orders,
     orders,
     table,
-    weekly_lines,
-    weekly_orders,
 )
 from feedwright.functions import dates as d
 from feedwright.functions import text as tx
@@ -689,7 +689,7 @@ def returned_lines(spark, sf):
     """Lines returned since 2001 with their quantity taken to zero; open ones carry a broken date."""
     broken = F.expr("case when l_linestatus = 'O' then replace(l_shipdate, '-0', '-9') else l_shipdate end")
     return (
-        weekly_lines(spark, sf)
+        monthly_lines(spark, sf)
         .where("l_returnflag = 'R' and l_shipdate >= '2001-01-01'")
         .withColumns({"l_quantity": F.lit("0"), "l_shipdate": broken})
         .select(*line_spec().columns)
@@ -697,7 +697,7 @@ def returned_lines(spark, sf):
 
 
 def past_lines(spark, sf):
-    return weekly_lines(spark, sf, "MM/dd/yyyy").select(*line_spec().columns)
+    return monthly_lines(spark, sf, "MM/dd/yyyy").select(*line_spec().columns)
 
 
 def judged_lines(spark, sf):
@@ -768,10 +768,10 @@ def snapshot_restatement(spark, sf):
     day = merge.feed_day("o_orderdate")
     names = table(spark, sf, "orders").columns
     snapshot = Snapshot(spark, scratch_path(spark, "snapshot"), names, day)
-    snapshot.replace(weekly_orders(spark, sf, "MM/dd/yyyy"))
-    late = weekly_orders(spark, sf, "MM/dd/yyyy").where(
-        day.between("2001-05-12", "2001-06-16") & (F.col("o_orderstatus") == "F")
-    )
+    snapshot.replace(monthly_orders(spark, sf, "MM/dd/yyyy"))
+    # The month between the two is not delivered, so the restatement drops it.
+    months = [dt.date(2001, 4, 30), dt.date(2001, 6, 30)]
+    late = monthly_orders(spark, sf, "MM/dd/yyyy").where(day.isin(months) & (F.col("o_orderstatus") == "F"))
     snapshot.replace_dates(late, *merge.date_bounds(late, day))
     return snapshot.read()
 

@@ -158,7 +158,14 @@ def _record_failure(spark: SparkSession, spec: FeedSpec, zones: Zones, clock: Ru
 def file_run_manifest(judged: DataFrame, written: DataFrame, started: str, ended: str) -> DataFrame:
     """One manifest row per delivered file; processed counts its distinct rows."""
     received = judged.groupBy("file").agg(F.count(F.lit(1)).alias("n"))
-    kept = written.groupBy(F.col("file").cast("string").alias("kept_file")).agg(F.count(F.lit(1)).alias("m"))
+    # As many rows as files were listed for staging; only their folders are counted.
+    delivered = F.broadcast(received.select("file"))
+    kept = (
+        written.withColumn("file", F.col("file").cast("string"))
+        .join(delivered, "file", "left_semi")
+        .groupBy(F.col("file").alias("kept_file"))
+        .agg(F.count(F.lit(1)).alias("m"))
+    )
     processed = F.coalesce(F.col("m"), F.lit(0))
     return received.join(kept, F.col("file") == F.col("kept_file"), "left").select(
         dataset_name("file").alias("Data_Set_Name"),

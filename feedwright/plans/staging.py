@@ -36,11 +36,6 @@ from feedwright.sources.readers import (
 from feedwright.sources.sinks import write_manifest
 
 
-def stripped(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Every column without double quotes, all in one projection."""
-    return df.select(*[strip_quotes(F.col(quoted(n))).alias(n) for n in names])
-
-
 def _for_files(fn, files: Sequence[File]) -> dict:
     """``fn`` of each file by name; the small jobs run side by side."""
     with ThreadPoolExecutor(8) as pool:
@@ -77,9 +72,9 @@ def _placed(spark: SparkSession, zones: Zones, dataset: str) -> set[str]:
     }
 
 
-def _blank_as_null(name: str) -> Column:
-    c = F.col(quoted(name))
-    return F.when(c != "", c).alias(name)
+def _staged_text(name: str) -> Column:
+    """Without quotes, blank as null: downstream both mean missing, and text files cannot tell them apart."""
+    return F.nullif(strip_quotes(F.col(quoted(name))), F.lit("")).alias(name)
 
 
 def stage(
@@ -164,13 +159,8 @@ def _write(spark: SparkSession, spec: FeedSpec, paths: list[str], target: str) -
         return
     names = normalise_names(spec.columns)
     scan = read_typed_csv(spark, paths, names)
-    cleaned = scan.select(
-        *[strip_quotes(F.col(quoted(n))).alias(n) for n in names], file_name().alias("file")
-    )
-    # Blank and missing are one thing downstream; text files could not tell them apart either.
-    cleaned.select(*[_blank_as_null(n) for n in names], "file").write.mode("append").partitionBy(
-        "file"
-    ).parquet(target)
+    cleaned = scan.select(*[_staged_text(n) for n in names], file_name().alias("file"))
+    cleaned.write.mode("append").partitionBy("file").parquet(target)
 
 
 def read_staged(spark: SparkSession, spec: FeedSpec, zones: Zones, run_id: str) -> DataFrame:
