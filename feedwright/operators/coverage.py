@@ -38,27 +38,30 @@ def missing_weeks(
     Sunday-to-Saturday week. Unreadable dates are left out. ``text_order``
     sorts by the date text instead of by time.
     """
-    # Calendar dates are few, however many rows there are.
-    days = df.select(_day(date_col, formats).alias("_d")).where("_d is not null").distinct()
-    bounds = days.agg(F.min("_d").alias("_lo"), F.max("_d").alias("_hi")).where("_lo is not null")
+    # One scan: rows are brought down to one per calendar week, and those few
+    # rows to the bounds and the list of weeks that hold data.
+    weekly = (
+        df.select(_day(date_col, formats).alias("_d"))
+        .groupBy(week_start("_d").alias("_week"))
+        .agg(F.min("_d").alias("_first"), F.max("_d").alias("_last"))
+    )
+    found = weekly.agg(
+        F.min("_first").alias("_lo"), F.max("_last").alias("_hi"), F.collect_set("_week").alias("_weeks")
+    )
     last = saturday_on_or_before(F.lit(as_of))
     first = saturday_of_week("_lo")
-    spine = bounds.where(first <= last).select(
-        "_lo", "_hi", F.explode(F.sequence(first, last, F.expr("interval 7 days"))).alias("_saturday")
+    spine = found.where(first <= last).select(
+        "*", F.explode(F.sequence(first, last, F.expr("interval 7 days"))).alias("_saturday")
     )
-    weeks = days.select(week_start("_d").alias("_have")).distinct()
-    report = (
-        spine.withColumn("_week", week_start("_saturday"))
-        .join(F.broadcast(weeks), F.col("_week") == F.col("_have"), "left")
-        .select(
-            F.lit(dataset).alias("Dataset_Name"),
-            F.date_format("_saturday", CONFORMED).alias(date_col),
-            F.when(F.col("_have").isNull(), "No").otherwise("Yes").alias("Availability"),
-            F.lit(as_of.strftime("%m/%d/%Y")).alias("DBInsertDate"),
-            short_date("_lo").alias("MinDate"),
-            short_date("_hi").alias("MaxDate"),
-            "_saturday",
-        )
+    has_data = F.array_contains("_weeks", week_start("_saturday"))
+    report = spine.select(
+        F.lit(dataset).alias("Dataset_Name"),
+        F.date_format("_saturday", CONFORMED).alias(date_col),
+        F.when(has_data, "Yes").otherwise("No").alias("Availability"),
+        F.lit(as_of.strftime("%m/%d/%Y")).alias("DBInsertDate"),
+        short_date("_lo").alias("MinDate"),
+        short_date("_hi").alias("MaxDate"),
+        "_saturday",
     )
     return report.orderBy(quoted(date_col) if text_order else "_saturday").drop("_saturday")
 

@@ -193,6 +193,7 @@ def enrich_frame(
     increment, snapshot and errors start from those. Every step can be run
     again with the same ``run_id`` and gives the same tables.
     """
+    spec.check_columns()
     spark = df.sparkSession
     clock = clock or RunClock()
     try:
@@ -238,6 +239,7 @@ def enrich(
 ) -> RunResult:
     """Bring the staged files of one run into their dataset's snapshot."""
     spec = specs[dataset]
+    spec.check_columns()
     clock = clock or RunClock()
     try:
         staged = read_staged(spark, spec, zones, run_id)

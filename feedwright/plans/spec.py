@@ -108,6 +108,10 @@ class FeedSpec:
             raise ValueError(f"{self.name}: {len(names)} columns given, {self.width} declared")
         return replace(self, columns=names)
 
+    def check_columns(self) -> None:
+        if not self.columns:
+            raise ValueError(f"{self.name}: its {self.width} columns must come from a schema file")
+
     def bad(self) -> Column:
         """Rows reported for their keys. Never null."""
         if self.measures:

@@ -92,6 +92,7 @@ def stage(
     Accepted rows go to ``run_id=<run>/file=<name>`` in one parallel job;
     raw files are left where they are.
     """
+    spec.check_columns()
     clock = clock or RunClock()
     try:
         rows = _stage(spark, spec, zones, run_id, clock, every_line)

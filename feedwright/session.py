@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -34,6 +35,11 @@ def build_session(app: str = "feedwright", master: str | None = None, **settings
     return builder.getOrCreate()
 
 
+@cache
+def _local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"feedwright-{application}-")
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -45,9 +51,7 @@ def scratch_root(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="feedwright-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder(spark.sparkContext.applicationId)
 
 
 _run_folder: ContextVar[str | None] = ContextVar("run_folder", default=None)

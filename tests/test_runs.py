@@ -273,6 +273,28 @@ def test_scratch_tables_go_with_their_run(spark):
     assert not exists(spark, folder) and folder not in scratch_path(spark, "y")
 
 
+def test_scratch_root_needs_a_shared_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    from feedwright.session import scratch_root
+
+    def session(master, folder=None):
+        conf = SimpleNamespace(get=lambda key, default=None: folder)
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master, applicationId="app"))
+
+    assert scratch_root(session("yarn", "hdfs:///scratch/")) == "hdfs:///scratch"
+    assert scratch_root(session("local[2]")) == scratch_root(session("local[2]"))
+    with pytest.raises(ValueError):
+        scratch_root(session("yarn"))
+
+
+def test_wide_feeds_need_their_columns(spark, specs, zones):
+    with pytest.raises(ValueError, match="schema file"):
+        stage(spark, specs["Nielsen_Product"], zones, "r")
+    with pytest.raises(ValueError, match="schema file"):
+        enrich(spark, "Nielsen_Product", specs, zones, "r")
+
+
 def test_snapshot_versions(spark, tmp_path, text):
     snap = Snapshot(spark, str(tmp_path / "s"), ["a"])
     assert snap.read().count() == 0 and snap.current() is None
