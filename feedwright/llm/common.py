@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from itertools import accumulate
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,13 +30,26 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows that one Arrow batch carries at most, so that a batch of long texts stays small.
+BATCH_ROWS = 1_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batch rows to ``BATCH_ROWS`` where they are higher or unbounded."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def doc_columns(docs: DataFrame) -> DataFrame:
     """``doc_id`` and ``text`` alone; other columns never reach an operator."""
+    small_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
 def whole_rows(docs: DataFrame) -> DataFrame:
     """Each row as the struct ``row`` beside its ``id``, so that no added column can clash."""
+    small_batches(docs.sparkSession)
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     return docs.select(row, F.col("doc_id").cast("bigint").alias("id"))
 
@@ -71,3 +85,54 @@ def utf8_texts(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
 def texts(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """Texts; null counts as empty."""
     return [t or "" for t in batch.column(column).to_pylist()]
+
+
+SPACES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
+_BYTE_VALUE = np.random.default_rng(5).integers(1, 1 << 63, 256, np.uint64)
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """Spread 64-bit values over all bits."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+class Words:
+    """The words of many texts at once: runs of bytes outside ``separators``, with 64-bit hashes.
+
+    ``begin`` and ``end`` are places in ``raw``; words of document ``d`` are
+    numbered from ``first[d]`` up to ``first[d + 1]``. A hash is a polynomial over
+    the word's bytes, taken from prefix sums and divided by its place's power.
+    """
+
+    def __init__(self, parts: list[bytes], separators: tuple[int, ...] = SPACES) -> None:
+        gap = bytes(separators[:1])
+        self.raw = gap.join(parts) + gap
+        data = np.frombuffer(self.raw, np.uint8)
+        is_word = np.ones(256, bool)
+        is_word[list(separators)] = False
+        inside = np.concatenate([[False], is_word[data], [False]])
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        self.begin, self.end = edges[::2], edges[1::2]
+        power = np.full(len(data), _BASE, np.uint64)
+        power[0] = 1
+        power = np.multiply.accumulate(power)
+        prefix = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE_VALUE[data] * power, dtype=np.uint64)])
+        x = power[self.begin]
+        inverse = x.copy()  # of an odd number modulo 2^64, by Newton's iteration
+        for _ in range(5):
+            inverse *= np.uint64(2) - x * inverse
+        sums = (prefix[self.end] - prefix[self.begin]) * inverse
+        self.hashes = mixed(sums + (self.end - self.begin).astype(np.uint64) * _BASE)
+        ends = np.cumsum([len(p) + 1 for p in parts])
+        self.first = np.concatenate([[0], np.searchsorted(self.begin, ends)])
+
+    def shingles(self, size: int) -> np.ndarray:
+        """Hash of the ``size`` words from each word on; meaningless where a document ends before."""
+        n = max(0, len(self.hashes) - size + 1)
+        out = np.zeros(n, np.uint64)
+        for i in range(size):
+            out += self.hashes[i : i + n] * np.uint64(pow(int(_BASE), i + 1, 1 << 64))
+        return mixed(out)

@@ -13,3 +13,56 @@ FROM (SELECT doc_id,
       FROM documents)
 WINDOW same AS (PARTITION BY norm)
 """
+
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+# A window is looked for as text between spaces, as words never hold a space.
+ORACLE["op4_decontamination"] = rf"""
+WITH d AS (
+    SELECT doc_id, list_filter(regexp_split_to_array({_LOWER.format("coalesce(text, '')")},
+           '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w
+    FROM documents),
+b AS (
+    SELECT CAST(item_id AS VARCHAR) AS item, list_filter(regexp_split_to_array({_LOWER.format("text")},
+           '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w
+    FROM benchmark WHERE text IS NOT NULL),
+windows AS (
+    SELECT DISTINCT item, len(w[i:i + 9]) AS n, array_to_string(w[i:i + 9], ' ') AS t
+    FROM b, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS r(i) WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT n FROM windows),
+places AS (
+    SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS t
+    FROM d, sizes, unnest(range(1, len(w) - n + 2)) AS r(i)),
+found AS (SELECT doc_id, i, n, item FROM places JOIN windows USING (n, t)),
+hit AS (SELECT doc_id, count(DISTINCT i + k) AS n_hit
+        FROM (SELECT DISTINCT doc_id, i, n FROM found), unnest(range(0, n)) AS r(k) GROUP BY doc_id),
+items AS (SELECT doc_id, count(DISTINCT item) AS n_items,
+                 sha256(string_agg(DISTINCT item, ',' ORDER BY item)) AS sha
+          FROM found GROUP BY doc_id)
+SELECT d.doc_id, len(d.w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       coalesce(sha, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+ORACLE["op8_minmax_near_dedup"] = rf"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, list_filter(regexp_split_to_array({_LOWER.format("coalesce(text, '')")}, '[\x20\x09-\x0D]+'),
+           lambda w: w <> '') AS w
+    FROM documents),
+s AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS t
+    FROM d, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS r(i) WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS size FROM s GROUP BY doc_id),
+pairs AS (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared
+    FROM s x JOIN s y ON x.t = y.t AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+links AS (
+    SELECT a, b FROM pairs JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+    WHERE 100 * shared >= 75 * (na.size + nb.size - shared)),
+reach(doc_id, other) AS (
+    SELECT doc_id, doc_id FROM documents
+    UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.other)
+SELECT d.doc_id, coalesce(n.size, 0) AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
+FROM d LEFT JOIN n USING (doc_id)
+JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) c USING (doc_id)
+"""

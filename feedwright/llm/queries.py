@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedwright.llm import exact, langid, packing, pii
+from feedwright.llm import decontam, exact, langid, minmax, packing, pii
 from feedwright.llm.common import table
 
 REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,6 +41,11 @@ def op3_packing(spark, sf):
     return packing.pack(table(spark, sf, "documents"), tokenizer_path())
 
 
+@query
+def op4_decontamination(spark, sf):
+    return decontam.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 @query
 def op7_exact_dedup(spark, sf):
     judged = exact.judged(table(spark, sf, "documents"))
@@ -51,3 +56,9 @@ def op7_exact_dedup(spark, sf):
         F.col("doc_id").eqNullSafe(F.col("winner")).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
     )
+
+
+@query
+def op8_minmax_near_dedup(spark, sf):
+    found = minmax.near_components(table(spark, sf, "documents"))
+    return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
