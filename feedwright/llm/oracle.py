@@ -66,3 +66,23 @@ SELECT d.doc_id, coalesce(n.size, 0) AS n_shingles, c.component_id, d.doc_id = c
 FROM d LEFT JOIN n USING (doc_id)
 JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) c USING (doc_id)
 """
+
+ORACLE["op5_substring_dedup"] = r"""
+WITH d AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+    FROM documents),
+windows AS (
+    SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS t
+    FROM d, unnest(range(1, len(w) - 48)) AS r(i)),
+owners AS (SELECT t, min(doc_id) AS owner FROM windows GROUP BY t),
+gone AS (
+    SELECT DISTINCT doc_id, i + k AS p
+    FROM windows JOIN owners USING (t), unnest(range(0, 50)) AS r(k) WHERE doc_id > owner),
+places AS (SELECT doc_id, p, w[p] AS word FROM d, unnest(range(1, len(w) + 1)) AS r(p)),
+kept AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS t
+    FROM places ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id),
+removed AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT d.doc_id, len(d.w) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN removed USING (doc_id)
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedwright.llm import decontam, exact, langid, minmax, packing, pii
+from feedwright.llm import decontam, exact, langid, linkgraph, minmax, packing, pii, substring
 from feedwright.llm.common import table
 
 REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,6 +46,16 @@ def op4_decontamination(spark, sf):
     return decontam.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
+@query
+def op5_substring_dedup(spark, sf):
+    return substring.report(table(spark, sf, "documents"))
+
+
+@query
+def op6_link_graph(spark, sf):
+    return linkgraph.judge(table(spark, sf, "pages"))
+
+
 @query
 def op7_exact_dedup(spark, sf):
     judged = exact.judged(table(spark, sf, "documents"))
