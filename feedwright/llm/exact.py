@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedwright.llm.common import ASCII_LOWER, doc_columns, id_key, stored, utf8_texts, whole_rows
+from feedwright.llm.common import ASCII_LOWER, doc_columns, id_key, slices, stored, utf8_texts, whole_rows
 
 #: Digests expected in one bucket of the index, and in one group of its hash.
 BUCKET_DIGESTS = 1_000
@@ -40,9 +40,10 @@ def digests(docs: DataFrame) -> DataFrame:
     """``doc_id`` and the SHA-256 of the normalised whole text, one row per row of ``docs``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            found = pa.array([text_digest(t) for t in utf8_texts(b)], pa.binary())
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), found], ["doc_id", "digest"])
+        for whole in batches:
+            for b in slices(whole):
+                found = pa.array([text_digest(t) for t in utf8_texts(b)], pa.binary())
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), found], ["doc_id", "digest"])
 
     return doc_columns(docs).mapInArrow(run, "doc_id bigint, digest binary")
 
@@ -127,28 +128,31 @@ def build_index(history: DataFrame, n_buckets: int) -> DataFrame:
 
 
 def look_up(index: DataFrame, asked: DataFrame, n_buckets: int) -> DataFrame:
-    """``asked`` (distinct digests) with ``known``, and the winner and size its slot holds."""
+    """``asked`` (distinct digests) with ``known``, and the winner and size its slot holds.
+
+    The digests asked of one bucket meet its index in one row; their number is
+    bounded like the bucket's own, as digests are distinct and dealt by hash.
+    """
     schema = "digest binary, known boolean, winner bigint, size bigint"
 
-    def find(keys: pa.Table, buckets: pa.Table) -> pa.Table:
-        wanted = keys.column("digest").to_pylist()
-        winners: list[int | None] = [None] * len(wanted)
-        sizes: list[int | None] = [None] * len(wanted)
-        known = [False] * len(wanted)
-        if wanted and buckets.num_rows:
-            held = buckets.column("digests")[0].as_py()
-            n = len(held) // 32
-            seeds = np.array(buckets.column("seeds")[0].as_py())
-            by_slot, by_size = buckets.column("winners")[0].as_py(), buckets.column("sizes")[0].as_py()
-            for i, s in enumerate(slots_of(np.frombuffer(b"".join(wanted), np.uint8), seeds, n)):
-                if held[32 * s : 32 * s + 32] == wanted[i]:
-                    known[i], winners[i], sizes[i] = True, by_slot[s], by_size[s]
-        columns = {"digest": pa.array(wanted, pa.binary()), "known": known}
-        columns |= {"winner": pa.array(winners, pa.int64()), "size": pa.array(sizes, pa.int64())}
-        return pa.table(columns)
-
-    keys = asked.select("digest", bucket_of(n_buckets).alias("bucket"))
-    return keys.groupBy("bucket").cogroup(index.groupBy("bucket")).applyInArrow(find, schema)
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for row in b.to_pylist():
+                wanted, held = row["asked"], row["digests"] or b""
+                n = len(held) // 32
+                slots = [0] * len(wanted)
+                if n:
+                    asked_bytes = np.frombuffer(b"".join(wanted), np.uint8)
+                    slots = slots_of(asked_bytes, np.array(row["seeds"]), n).tolist()
+                known = [bool(n) and held[32 * s : 32 * s + 32] == d for s, d in zip(slots, wanted)]
+                winners = [row["winners"][s] if k else None for s, k in zip(slots, known)]
+                sizes = [row["sizes"][s] if k else None for s, k in zip(slots, known)]
+                columns = [pa.array(wanted, pa.binary()), pa.array(known, pa.bool_())]
+                columns += [pa.array(winners, pa.int64()), pa.array(sizes, pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, ["digest", "known", "winner", "size"])
+
+    keys = asked.groupBy(bucket_of(n_buckets).alias("bucket")).agg(F.collect_list("digest").alias("asked"))
+    return keys.join(index, "bucket", "left").mapInArrow(find, schema)
 
 
 def against_history(incoming: DataFrame, history: DataFrame) -> DataFrame:
@@ -188,9 +192,10 @@ def with_digest(docs: DataFrame) -> DataFrame:
     """Every row of ``docs`` as the struct ``row``, with its ``id`` and its text's ``digest``."""
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            found = pa.array([text_digest(t) for t in utf8_texts(b, "text")], pa.binary())
-            yield pa.RecordBatch.from_arrays([b.column("row"), b.column("id"), found], ["row", "id", "digest"])
+        for whole in batches:
+            for b in slices(whole):
+                found = pa.array([text_digest(t) for t in utf8_texts(b)], pa.binary())
+                yield pa.RecordBatch.from_arrays([b.column("row"), b.column("id"), found], ["row", "id", "digest"])
 
     rows = whole_rows(docs).withColumn("text", F.col("row.text").cast("string"))
     return rows.mapInArrow(keyed, rows.drop("text").schema.add("digest", "binary"))
