@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedwright.llm.common import doc_columns, slices, stored, texts
+from feedwright.llm.common import Words, doc_columns, slices, stored, texts
 
 SEQUENCE = 2048
 END_ID = 0
@@ -77,8 +77,6 @@ class ChunkTokenizer:
         self.words = self.model.model
         self.spell = byte_letters()
         self.marks = {m: self.model.encode(m, add_special_tokens=False).ids for m in self.MARKS} | {"": []}
-        random = np.random.default_rng(2048)
-        self.byte_value = random.integers(1, 1 << 63, 256, np.uint64)
         self.forget()
 
     def forget(self) -> None:
@@ -136,19 +134,8 @@ class ChunkTokenizer:
         if len(self.keys) > MEMORY:
             self.forget()
         parts = [(t.lower() if latin(t) else t).encode() for t in docs]
-        raw = b" ".join(parts) + b" "
-        data = np.frombuffer(raw, np.uint8)
-        power = np.full(len(data), 0x9E3779B97F4A7C15, np.uint64)
-        power[0] = 1
-        power = np.multiply.accumulate(power)
-        prefix = np.concatenate([[np.uint64(0)], np.cumsum(self.byte_value[data] * power, dtype=np.uint64)])
-        inside = np.concatenate([[False], (data != 32) & (data != 10), [False]])
-        edges = np.flatnonzero(inside[1:] != inside[:-1])
-        begin, end = edges[::2], edges[1::2]
-        # A hash that does not depend on the place: divide by the power at the chunk's begin.
-        keys = (prefix[end] - prefix[begin]) * _inverse_powers(power, begin)
-        keys ^= (keys >> np.uint64(32)) + (end - begin).astype(np.uint64) * np.uint64(0xBF58476D1CE4E5B9)
-        keys *= np.uint64(0x94D049BB133111EB)
+        chunks = Words(parts, (0x20, 0x0A))
+        keys, begin, end, raw = chunks.hashes, chunks.begin, chunks.end, chunks.raw
         at = self.find(keys)
         missing = np.flatnonzero(at < 0)
         if len(missing):
@@ -157,10 +144,9 @@ class ChunkTokenizer:
             self.learn(new, [raw[s:e].decode() for s, e in zip(begin[where].tolist(), end[where].tolist())])
             at[missing] = self.find(keys[missing])
         count = self.count[at]
-        doc_ends = np.cumsum([len(p) + 1 for p in parts])
         tokens = np.concatenate([[0], np.cumsum(count)])
         before = tokens[:-1]
-        per_doc = np.diff(tokens[np.concatenate([[0], np.searchsorted(begin, doc_ends)])])
+        per_doc = np.diff(tokens[chunks.first])
         total = int(tokens[-1])
         order = np.arange(total)
         flat = self.ids[np.repeat(self.first[at] - before, count) + order]
@@ -169,15 +155,6 @@ class ChunkTokenizer:
         return out, np.concatenate([[0], np.cumsum(per_doc + 1)])
 
 
-def _inverse_powers(power: np.ndarray, begin: np.ndarray) -> np.ndarray:
-    """Inverses modulo 2^64 of odd numbers, by Newton's iteration."""
-    x = power[begin]
-    inverse = x.copy()
-    for _ in range(5):
-        inverse *= np.uint64(2) - x * inverse
-    return inverse
-
-
 def worker_tokenizer(path: str) -> ChunkTokenizer:
     """The tokenizer that this Python worker keeps over its tasks, with the chunks it remembers."""
     held = sys.modules.setdefault("_kept_tokenizers", types.ModuleType("_kept_tokenizers")).__dict__
@@ -268,39 +245,41 @@ def place(cut: DataFrame, sequence: int = SEQUENCE) -> DataFrame:
     n = rests.count()
     shards = -(-max(1, n) // SHARD_PIECES)
     placed = stored(_pack_round(rests, shards, sequence), "bins")
-    for level in range(ROUNDS):
-        blocks = placed.where(F.col("fill") < sequence).groupBy("bin").agg(F.max("fill").alias("length"))
-        blocks = stored(blocks, "blocks")
-        n = blocks.count()
-        fewer = -(-max(1, n) // SHARD_PIECES)
+    blocks = placed.groupBy("bin").agg(F.max("fill").alias("fill"))
+    # Where each bin of the first round ends up: a bin of a later round and the offset there.
+    moved = blocks.select("bin", F.col("bin").alias("sequence_id"), F.lit(0).cast("bigint").alias("base"), "fill")
+    moved = stored(moved, "blocks")
+    for level in range(1, ROUNDS + 1):
+        loose = moved.where(F.col("fill") < sequence).groupBy("sequence_id").agg(F.max("fill").alias("length"))
+        n = loose.count()
         if shards == 1 or n < 2:
             break
-        salted = blocks.select(
-            F.col("bin").alias("item"), "length", F.abs(F.xxhash64("bin", F.lit(level))).alias("salt")
+        shards = -(-n // SHARD_PIECES)
+        salt = F.abs(F.xxhash64("sequence_id", F.lit(level)))
+        again = _pack_round(loose.select(F.col("sequence_id").alias("item"), "length", salt.alias("salt")), shards, sequence)
+        again = again.select(
+            F.col("item").alias("sequence_id"),
+            # The bins of each round are numbered in a range of their own.
+            (F.col("bin") + (level << 50)).alias("next_id"),
+            F.col("offset").alias("shift"),
+            F.col("fill").alias("next_fill"),
         )
-        moved = _pack_round(salted, fewer, sequence).select(
-            F.col("item").alias("bin"),
-            F.col("bin").alias("new_bin"),
-            F.col("offset").alias("base"),
-            F.col("fill").alias("new_fill"),
-        )
-        # Blocks of this round take negative-free ids above all earlier ones: level in the high bits.
-        high = F.lit((level + 1) << 50)
-        placed = stored(
-            placed.join(moved, "bin", "left").select(
-                "item",
-                F.coalesce(F.col("new_bin") + high, F.col("bin")).alias("bin"),
-                (F.col("offset") + F.coalesce(F.col("base"), F.lit(0))).alias("offset"),
-                F.coalesce("new_fill", "fill").alias("fill"),
+        moved = stored(
+            moved.join(again, "sequence_id", "left").select(
+                "bin",
+                F.coalesce("next_id", "sequence_id").alias("sequence_id"),
+                (F.col("base") + F.coalesce("shift", F.lit(0))).alias("base"),
+                F.coalesce("next_fill", "fill").alias("fill"),
             ),
-            "bins",
+            "blocks",
         )
-        shards = fewer
+    placed = placed.join(moved.select("bin", "sequence_id", "base"), "bin").select(
+        "item", "sequence_id", (F.col("offset") + F.col("base")).alias("offset")
+    )
     full = numbered.where(F.col("length") >= sequence).select(
         "item", (-F.col("item") - 1).alias("sequence_id"), F.lit(0).cast("bigint").alias("offset")
     )
-    where = placed.select("item", F.col("bin").alias("sequence_id"), "offset").unionByName(full)
-    return numbered.join(where, "item").drop("item", "salt")
+    return numbered.join(placed.unionByName(full), "item").drop("item", "salt")
 
 
 def pack(docs: DataFrame, tokenizer: str, sequence: int = SEQUENCE) -> DataFrame:
