@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedwright.llm import decontam, exact, langid, linkgraph, minmax, packing, pii, substring
+from feedwright.llm import decontam, exact, langid, licenses, linkgraph, minmax, packing, pii, quality, substring
 from feedwright.llm.common import table
 
 REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +72,14 @@ def op7_exact_dedup(spark, sf):
 def op8_minmax_near_dedup(spark, sf):
     found = minmax.near_components(table(spark, sf, "documents"))
     return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+@query
+def op9_license_scan(spark, sf):
+    return licenses.scan(table(spark, sf, "documents"), licenses.template_table(spark))
+
+
+@query
+def op10_quality(spark, sf):
+    docs = table(spark, sf, "documents")
+    return quality.score(docs, quality.learn(docs, table(spark, sf, "labels")))
