@@ -27,7 +27,7 @@ SHINGLE = 5
 BANDS = 64
 PERCENT = 75
 #: Templates are held in every task; more shingles than these are refused.
-MAX_TEMPLATE_SHINGLES = 50_000
+MAX_TEMPLATE_SHINGLES = 5_000
 
 # License names and the notices that announce them.
 TEMPLATES = {
@@ -118,10 +118,11 @@ def scan(docs: DataFrame, templates: DataFrame) -> DataFrame:
     if not sizes:
         return spark.createDataFrame([], result)
     # The set of all template hashes is bounded; it is a constant of the plan.
-    hashes = [str(h) for r in known.select("hashes").collect() for h in r["hashes"]]
-    of_templates = F.split(F.lit(",".join(hashes)), ",").cast("array<bigint>")
-    rows = doc_columns(docs).select("doc_id", words_column(F.col("text")).alias("words"))
-    rows = rows.withColumn("hashes", shingle_hashes(F.col("words")))
+    of_templates = F.array(*[F.lit(h) for r in known.select("hashes").collect() for h in r["hashes"]])
+    # One-element arrays are exploded so that words and hashes are computed once a row:
+    # a plain projection would be merged into the lambdas that read it and run again for each element.
+    rows = doc_columns(docs).select("doc_id", F.explode(F.array(words_column(F.col("text")))).alias("words"))
+    rows = rows.select("doc_id", "words", F.explode(F.array(shingle_hashes(F.col("words")))).alias("hashes"))
     rows = rows.where(F.arrays_overlap("hashes", of_templates))
     classes = F.array(*[F.lit(s) for s in sizes])
 
