@@ -1,5 +1,7 @@
 """DuckDB SQL for the operators' results where SQL can express them."""
 
+from feedwright.llm.licenses import PERCENT, TEMPLATES
+
 ORACLE: dict[str, str] = {}
 
 ORACLE["op7_exact_dedup"] = """
@@ -86,3 +88,22 @@ removed AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
 SELECT d.doc_id, len(d.w) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN removed USING (doc_id)
 """
+
+_NOTICES = ", ".join("('{}', '{}')".format(*(x.replace("'", "''") for x in t)) for t in TEMPLATES.items())
+_ALNUM = "list_filter(regexp_split_to_array({}, '[^a-z0-9]+'), lambda w: w <> '')"
+
+ORACLE["op9_license_scan"] = f"""
+WITH t AS (SELECT license, {_ALNUM.format(_LOWER.format("text"))} AS w FROM (VALUES {_NOTICES}) v(license, text)),
+ts AS (SELECT DISTINCT license, array_to_string(w[i:i + 4], ' ') AS s
+       FROM t, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS r(i)),
+tn AS (SELECT license, count(*) AS n, CAST(pow(2, ceil(log2(count(*)))) AS BIGINT) AS size FROM ts GROUP BY license),
+d AS (SELECT DISTINCT doc_id, {_ALNUM.format(_LOWER.format("text"))} AS w FROM documents WHERE text IS NOT NULL),
+ds AS (SELECT doc_id, i - 1 AS i, array_to_string(w[i:i + 4], ' ') AS s
+       FROM d, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS r(i) WHERE len(w) > 0),
+windows AS (
+    SELECT doc_id, license, n, i // size - back AS k, count(DISTINCT s) AS shared
+    FROM ds JOIN ts USING (s) JOIN tn USING (license), (VALUES (0), (1)) b(back)
+    WHERE i // size >= back GROUP BY doc_id, license, n, k)
+SELECT doc_id, license, CAST(max(shared) AS INTEGER) AS n_shared, CAST(any_value(n) AS INTEGER) AS n_template
+FROM windows WHERE 100 * shared >= {PERCENT} * n GROUP BY doc_id, license
+"""
