@@ -5,8 +5,10 @@ carries payload columns. Three ways to join it, all exact:
 
 * it was counted and is small: broadcast it, the feed is not shuffled;
 * it is large and no hot keys are known: a shuffle join;
-* it is large and the feed's hot keys are known: their rows (any number) meet
-  the few hot lookup rows by broadcast, only the other rows are shuffled.
+* it is large and the feed's hot keys are known: a shuffle join on the key and a
+  salt. Rows of hot keys get a salt from their content, the few lookup rows of
+  hot keys are repeated for every salt, and all other rows have salt 0, so the
+  feed is read once and no task gets a whole hot key.
 """
 
 from __future__ import annotations
@@ -20,6 +22,10 @@ from pyspark.sql import functions as F
 from feedwright.functions.text import quoted
 
 
+#: Parts that the rows of one hot key are dealt to.
+SALTS = 64
+
+
 def key_names(n: int) -> list[str]:
     return [f"_k{i}" for i in range(n)]
 
@@ -53,6 +59,10 @@ def attach(
         return df.join(F.broadcast(table), on, "left").drop(*keys)
     if hot is None:
         return df.join(table, on, "left").drop(*keys)
-    few = F.broadcast(hot)
-    warm = df.join(few, on, "left_anti").join(table, on, "left")
-    return df.join(few, on, "inner").unionByName(warm).drop(*keys)
+    few = F.broadcast(hot.select(*keys, F.lit(True).alias("_hot")))
+    spread = F.when(F.col("_hot"), F.pmod(F.xxhash64(*[F.col(quoted(c)) for c in df.columns]), F.lit(SALTS)))
+    salted = df.join(few, on, "left").withColumn("_salt", F.coalesce(spread.cast("int"), F.lit(0))).drop(*keys, "_hot")
+    same = reduce(lambda a, b: a & b, [F.col(f"t.{k}").eqNullSafe(F.col(f"h.{k}")) for k in keys])
+    salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    repeated = table.alias("t").join(few.alias("h"), same, "left").select("t.*", F.explode(salts).alias("_part"))
+    return salted.join(repeated, on & (F.col("_salt") == F.col("_part")), "left").drop(*keys, "_salt", "_part")

@@ -316,3 +316,17 @@ def test_error_records_of_the_period_rows(text):
 def test_row_counts(text):
     df = text(["k"], [("1",), ("",), (None,)])
     assert tuple(records.row_counts(df, rules.bad_key(["k"])).first()) == (3, 1, 2)
+
+
+def test_large_lookups_read_the_feed_once(spark, tmp_path):
+    rows = [(str(i % 3), str(i % 7), None if i % 5 == 0 else str(i)) for i in range(90)]
+    spark.createDataFrame(rows, "a string, b string, c string").write.parquet(str(tmp_path / "feed"))
+    feed = spark.read.parquet(str(tmp_path / "feed"))
+    masters = [spark.createDataFrame([(str(k),) for k in range(n)], "k string") for n in range(1, 8)]
+    seven = [Lookup("abcabca"[i], m, "k") for i, m in enumerate(masters)]
+    flagged = lookups.flag_lookups(feed, seven, Limits(rows=0, bytes=0))
+    plan = flagged._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("Relation [a" in line for line in plan.splitlines()) == 1
+    wanted = lookups.flag_lookups(feed, seven)
+    names = sorted(flagged.columns)
+    assert sorted(map(str, flagged.select(names).collect())) == sorted(map(str, wanted.select(names).collect()))
