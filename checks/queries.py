@@ -533,7 +533,7 @@ def raw_to_stage_manifest(spark, sf):
     zones = raw_events(spark, sf)
     stage(spark, event_spec(), zones, "r1", CLOCK)
     again = stage(spark, event_spec(), zones, "r2", CLOCK)
-    files = spark.read.parquet(zones.file_manifests).drop("run_date", "dataset")
+    files = spark.read.parquet(zones.file_manifests).drop("run_date", "dataset", "run_id")
     return (
         files.select(*again.columns)
         .groupBy("Status", "Error_description")

@@ -22,6 +22,7 @@ PROCESSED = "Processed"
 REJECTED = "Rejected"
 FAILED = "Exception Occured while Processing"
 NO_REMARK = "NA"
+RAGGED = "{} lines with too few or too many fields"
 BAD_SCHEMA = "Schema validation failed"
 NO_FILE = "File Not Found"
 NOT_PLACED = "File Renameing Failed / File already present in Stage"

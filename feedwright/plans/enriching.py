@@ -148,11 +148,11 @@ def merge_clean(
         raise ValueError(f"{spec.name} is not merged into a snapshot")
 
 
-def _record_failure(spark: SparkSession, spec: FeedSpec, zones: Zones, clock: RunClock) -> None:
+def _record_failure(spark: SparkSession, spec: FeedSpec, zones: Zones, clock: RunClock, run_id: str) -> None:
     manifest = run_manifest(
         spark, spec.output_name, FAILED, None, None, clock.timestamp, RunClock().timestamp
     )
-    write_manifest(manifest, zones.run_manifests, clock.day, spec.output_name)
+    write_manifest(manifest, zones.run_manifests, clock.day, spec.output_name, run_id)
 
 
 def file_run_manifest(judged: DataFrame, written: DataFrame, started: str, ended: str) -> DataFrame:
@@ -200,7 +200,7 @@ def enrich_frame(
         with scratch_run(spark):
             return _enrich(df, spec, specs, zones, run_id, clock, limits)
     except Exception:
-        _record_failure(spark, spec, zones, clock)
+        _record_failure(spark, spec, zones, clock, run_id)
         raise
 
 
@@ -223,7 +223,7 @@ def _enrich(df, spec, specs, zones, run_id, clock, limits) -> RunResult:
         manifest = file_run_manifest(found.frame, written, started, ended)
     else:
         manifest = run_manifest(spark, spec.output_name, PROCESSED, received, processed, started, ended)
-    write_manifest(manifest, zones.run_manifests, clock.day, spec.output_name)
+    write_manifest(manifest, zones.run_manifests, clock.day, spec.output_name, run_id)
     first_day, last_day = found.metrics.get("first_day"), found.metrics.get("last_day")
     return RunResult(spec.name, PROCESSED, received, processed, received - processed, first_day, last_day)
 
@@ -244,7 +244,7 @@ def enrich(
     try:
         staged = read_staged(spark, spec, zones, run_id)
     except Exception:
-        _record_failure(spark, spec, zones, clock)
+        _record_failure(spark, spec, zones, clock, run_id)
         raise
     return enrich_frame(staged, spec, specs, zones, run_id, clock, limits)
 
@@ -276,5 +276,5 @@ def report_coverage(
         clock.timestamp,
         RunClock().timestamp,
     ).withColumn("No_Of_records_rejected", F.lit(counted["unreadable"]).cast("bigint"))
-    write_manifest(manifest, zones.run_manifests, clock.day, report)
+    write_manifest(manifest, zones.run_manifests, clock.day, report, clock.day)
     return written

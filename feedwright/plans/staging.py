@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,6 +19,7 @@ from feedwright.operators.records import (
     NO_REMARK,
     NOT_PLACED,
     PROCESSED,
+    RAGGED,
     REJECTED,
 )
 from feedwright.operators.schema import HeaderVerdict, check_header, field_count, normalise_names, rebind
@@ -27,46 +28,57 @@ from feedwright.plans.zones import Zones
 from feedwright.sources.files import File, glob_files, list_names
 from feedwright.sources.readers import (
     file_name,
-    read_headed_csv,
     read_lines,
     read_piped,
     read_typed_csv,
     rows_per_file,
 )
-from feedwright.sources.sinks import write_manifest
+from feedwright.sources.sinks import write_errors, write_manifest
 
 
-def _for_files(fn, files: Sequence[File]) -> dict:
-    """``fn`` of each file by name; the small jobs run side by side."""
-    with ThreadPoolExecutor(8) as pool:
-        return dict(zip([f.name for f in files], pool.map(fn, files)))
+def _with_place(lines: DataFrame) -> DataFrame:
+    """Lines with their ``file`` and a ``place`` that orders the lines of one file."""
+    place = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    return lines.select("value", file_name().alias("file"), place.alias("place"))
 
 
 def header_verdicts(spark: SparkSession, spec: FeedSpec, files: Sequence[File]) -> dict[str, HeaderVerdict]:
-    """Verdict per file name; only the first line of each file is read."""
-    return _for_files(lambda f: check_header(spec.columns, read_headed_csv(spark, f.path).columns), files)
+    """Verdict per file name, from one scan that finds the first filled line of every file."""
+    lines = _with_place(read_lines(spark, [f.path for f in files])).where(F.trim("value") != "")
+    first = lines.groupBy("file").agg(F.min_by("value", "place").alias("line"))
+    found = {r["file"]: next(csv.reader([r["line"]]), []) for r in first.collect()}
+    return {f.name: check_header(spec.columns, found.get(f.name, [])) for f in files}
 
 
 def narrow_lines(lines: DataFrame, width: int) -> DataFrame:
-    """Per file, how many lines there are and how many do not have ``width`` fields."""
-    return lines.groupBy(file_name().alias("file")).agg(
+    """Per file, how many lines there are, how many do not have ``width`` fields, and whether the first has."""
+    fields = field_count("value")
+    return _with_place(lines).groupBy("file").agg(
         F.count(F.lit(1)).alias("rows"),
-        F.count_if(field_count("value") != width).alias("off"),
+        F.count_if(fields != width).alias("off"),
+        (F.min_by(fields, "place") == width).alias("first_fits"),
     )
 
 
-def first_line_fits(spark: SparkSession, file: File, width: int) -> bool:
-    """Whether the first line of a headerless file has ``width`` fields."""
-    first = read_lines(spark, file.path).select(field_count("value").alias("n")).first()
-    return first is not None and first["n"] == width
+def comma_fields(line: Column | str) -> Column:
+    """Fields of a comma line; commas inside quotes do not count."""
+    line = F.col(line) if isinstance(line, str) else line
+    return field_count(F.regexp_replace(line, '"(?:[^"]|"")*"', "q"), ",")
 
 
-def _placed(spark: SparkSession, zones: Zones, dataset: str) -> set[str]:
-    """Names of files that earlier runs staged."""
+def ragged_lines(spark: SparkSession, paths: Sequence[str], width: int) -> DataFrame:
+    """FileName and Line of every line of headed files that has too few or too many fields."""
+    lines = read_lines(spark, paths).where(F.trim("value") != "").select("value", file_name().alias("FileName"))
+    return lines.where(comma_fields("value") != width).select("FileName", F.col("value").alias("Line"))
+
+
+def _placed(spark: SparkSession, zones: Zones, dataset: str, run_id: str) -> set[str]:
+    """Names of files that other runs staged; files of the own run may be staged again."""
     folder = zones.staged(dataset)
     return {
         unquote(n.removeprefix("file="))
         for run in list_names(spark, folder)
+        if run != f"run_id={run_id}"
         for n in list_names(spark, f"{folder}/{run}")
         if n.startswith("file=")
     }
@@ -83,14 +95,16 @@ def stage(
     zones: Zones,
     run_id: str,
     clock: RunClock | None = None,
-    every_line: bool = False,
+    every_line: bool = True,
 ) -> DataFrame:
     """Stage the files of one feed and return their manifest.
 
-    Headed files need the declared header. Headerless files need the declared
-    number of fields in their first line, or with ``every_line`` in each line.
-    Accepted rows go to ``run_id=<run>/file=<name>`` in one parallel job;
-    raw files are left where they are.
+    Headed files need the declared header. Their rows with too few or too many
+    fields are filled or cut, counted in the manifest and kept as text in
+    ``zones.line_records``. Headerless files need the declared number of fields
+    in each line, or without ``every_line`` in their first. Accepted rows go to
+    ``run_id=<run>/file=<name>`` in one parallel job; raw files are left where
+    they are. Staging the same run again replaces what it wrote.
     """
     spec.check_columns()
     clock = clock or RunClock()
@@ -98,10 +112,10 @@ def stage(
         rows = _stage(spark, spec, zones, run_id, clock, every_line)
     except Exception:
         failed = [(spec.raw_glob, FAILED, "", None, clock.timestamp, RunClock().timestamp)]
-        write_manifest(spark.createDataFrame(failed, FILE_MANIFEST), zones.file_manifests, clock.day, spec.name)
+        write_manifest(spark.createDataFrame(failed, FILE_MANIFEST), zones.file_manifests, clock.day, spec.name, run_id)
         raise
     manifest = spark.createDataFrame(rows, FILE_MANIFEST)
-    write_manifest(manifest, zones.file_manifests, clock.day, spec.name)
+    write_manifest(manifest, zones.file_manifests, clock.day, spec.name, run_id)
     return manifest
 
 
@@ -111,14 +125,10 @@ def _stage(spark, spec, zones, run_id, clock, every_line) -> list[tuple]:
         return [(spec.raw_glob, REJECTED, NO_FILE, None, clock.timestamp, RunClock().timestamp)]
     if len({f.name for f in files}) < len(files):
         raise ValueError(f"{spec.raw_glob} finds several files of one name")
-    placed = _placed(spark, zones, spec.name)
+    placed = _placed(spark, zones, spec.name, run_id)
     if spec.piped:
         counted = {r["file"]: r for r in narrow_lines(read_lines(spark, [f.path for f in files]), spec.width).collect()}
-        if every_line:
-            fits = {f.name for f in files if f.name in counted and counted[f.name]["off"] == 0}
-        else:
-            first = _for_files(lambda f: first_line_fits(spark, f, spec.width), files)
-            fits = {n for n, fit in first.items() if fit}
+        fits = {n for n, r in counted.items() if (r["off"] == 0 if every_line else r["first_fits"])}
         rows = {n: r["rows"] for n, r in counted.items()}
     else:
         fits = {n for n, v in header_verdicts(spark, spec, files).items() if v.valid}
@@ -127,6 +137,11 @@ def _stage(spark, spec, zones, run_id, clock, every_line) -> list[tuple]:
     target = zones.staged_run(spec.name, run_id)
     if accepted:
         _write(spark, spec, [f.path for f in accepted], target)
+    ragged = {}
+    if accepted and not spec.piped:
+        off = ragged_lines(spark, [f.path for f in accepted], spec.width)
+        path = write_errors(off, zones.line_records, clock.day, spec.name, run_id)
+        ragged = {r["FileName"]: r["count"] for r in spark.read.parquet(path).groupBy("FileName").count().collect()}
     if not spec.piped:
         rows = _headed_rows(spark, spec, accepted, [f for f in files if f not in accepted], target)
     ended = RunClock().timestamp
@@ -136,7 +151,7 @@ def _stage(spark, spec, zones, run_id, clock, every_line) -> list[tuple]:
             return REJECTED, BAD_SCHEMA
         if f.name in placed:
             return REJECTED, NOT_PLACED
-        return PROCESSED, NO_REMARK
+        return PROCESSED, RAGGED.format(ragged[f.name]) if f.name in ragged else NO_REMARK
 
     return [(f.name, *verdict(f), rows.get(f.name, 0), clock.timestamp, ended) for f in files]
 
@@ -156,12 +171,12 @@ def _headed_rows(spark, spec, accepted, refused, target) -> dict[str, int]:
 def _write(spark: SparkSession, spec: FeedSpec, paths: list[str], target: str) -> None:
     if spec.piped:
         lines = read_lines(spark, paths).select(strip_line_quotes("value").alias("value"), file_name().alias("file"))
-        lines.write.mode("append").partitionBy("file").text(target)
+        lines.write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("file").text(target)
         return
     names = normalise_names(spec.columns)
     scan = read_typed_csv(spark, paths, names)
     cleaned = scan.select(*[_staged_text(n) for n in names], file_name().alias("file"))
-    cleaned.write.mode("append").partitionBy("file").parquet(target)
+    cleaned.write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("file").parquet(target)
 
 
 def read_staged(spark: SparkSession, spec: FeedSpec, zones: Zones, run_id: str) -> DataFrame:

@@ -36,6 +36,10 @@ class Zones:
     def file_manifests(self) -> str:
         return f"{self.root}/Errors/raw_to_stage"
 
+    @property
+    def line_records(self) -> str:
+        return f"{self.root}/Errors/raw_to_stage_lines"
+
     @property
     def run_manifests(self) -> str:
         return f"{self.root}/Errors/stage_to_enriched/manifests"

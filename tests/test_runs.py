@@ -85,7 +85,10 @@ def test_staging_verdicts(spark, tmp_path, specs, zones, clock):
     deliver(tmp_path, "Walmart", "unilever_history_weekly_data_swap.csv", ["date,zip,avgTemp,prcp,rh", "1,2,3,4,5"])
     deliver(tmp_path, "Walmart", "unilever_history_weekly_data_wide.csv", ["zip,date,avgTemp,prcp,rh,more", "1,2,3,4,5,6"])
     got = {r["FileName"].split("data_")[1]: r for r in stage(spark, spec, zones, "r1", clock).collect()}
-    assert got["good.csv"]["Status"] == "Processed" and got["good.csv"]["Error_description"] == "NA"
+    assert got["good.csv"]["Status"] == "Processed"
+    assert got["good.csv"]["Error_description"] == "1 lines with too few or too many fields"
+    off = spark.read.parquet(zones.line_records).collect()
+    assert [(r["FileName"].split("data_")[1], r["Line"]) for r in off] == [("good.csv", "2,b")]
     assert got["good.csv"]["Total_row_Count"] == 2
     assert got["swap.csv"]["Error_description"] == "Schema validation failed"
     assert got["wide.csv"]["Status"] == "Rejected"
@@ -107,14 +110,43 @@ def test_staging_piped(spark, tmp_path, specs, zones, clock):
     line = "|".join(["1"] * 19)
     deliver(tmp_path, "Target", "TGT_GRM_POS_a.txt", [line, line.replace("1", '"1"'), "1|2"])
     deliver(tmp_path, "Target", "TGT_GRM_POS_b.txt", ["1|2|3", line])
-    got = {r["FileName"]: (r["Status"], r["Total_row_Count"]) for r in stage(spark, spec, zones, "r1", clock).collect()}
+    got = {r["FileName"]: (r["Status"], r["Total_row_Count"]) for r in stage(spark, spec, zones, "r1", clock, every_line=False).collect()}
     assert got == {"TGT_GRM_POS_a.txt": ("Processed", 3), "TGT_GRM_POS_b.txt": ("Rejected", 2)}
     staged = read_staged(spark, spec, zones, "r1")
     assert staged.count() == 3 and staged.where("c18 = '1'").count() == 2
-    strict = {r["FileName"]: r["Status"] for r in stage(spark, spec, Zones(zones.root), "r2", clock, every_line=True).collect()}
+    strict = {r["FileName"]: r["Status"] for r in stage(spark, spec, Zones(zones.root), "r2", clock).collect()}
     assert set(strict.values()) == {"Rejected"}
 
 
+def test_steps_can_be_repeated(spark, tmp_path, specs, zones, clock):
+    spec = specs["Weather"]
+    lines = ["zip,date,avgTemp,prcp,rh", '1,2017,"3,4",,5', "2,2017,3,4,5,6"]
+    deliver(tmp_path, "Walmart", "unilever_history_weekly_data_good.csv", lines)
+    seen = []
+    for _ in range(2):
+        stage(spark, spec, zones, "r1", clock)
+        enrich(spark, "Weather", specs, zones, "r1", clock)
+        tables = (read_staged(spark, spec, zones, "r1"), snapshot_of(spark, spec, zones).read())
+        tables += tuple(manifest(spark, p) for p in (zones.file_manifests, zones.run_manifests, zones.line_records))
+        tables = (*tables, spark.read.parquet(zones.error_records))
+        timed = ("Start_Date_Time", "End_Date_Time")
+        seen.append([sorted(map(str, t.drop(*[c for c in t.columns if "ime" in c or c in timed]).collect())) for t in tables])
+    assert seen[0] == seen[1] and len(seen[0][0]) == 2 and len(seen[0][2]) == len(seen[0][3]) == len(seen[0][4]) == 1
+
+
+def test_staging_jobs_do_not_grow_with_files(spark, tmp_path, specs, clock):
+    counts = []
+    for n in (2, 20):
+        zones = Zones(str(tmp_path / str(n)))
+        for i in range(n):
+            deliver(tmp_path / str(n), "Walmart", f"unilever_history_weekly_data_{i}.csv", ["zip,date,avgTemp,prcp,rh", "1,2,3,4,5"])
+        spark.sparkContext.setJobGroup(f"files-{n}", "staging")
+        stage(spark, specs["Weather"], zones, "r1", clock)
+        counts.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"files-{n}")))
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert counts[0] == counts[1]
+
+
 def test_master_run(spark, tmp_path, specs, zones, clock):
     load_masters(spark, tmp_path, specs, zones, clock)
     kept = snapshot_of(spark, specs["TargetPOS_Product"], zones).read()
@@ -206,7 +238,7 @@ def test_scan_run_takes_spelling_and_pads(spark, tmp_path, specs, zones, clock):
     deliver(tmp_path, "Nielsen", "NLS_STR_1.csv", [",".join(markets), ",".join(["m1", "Total US", *["v"] * 16])])
     period = ",".join(catalog.PERIOD_COLUMNS)
     deliver(tmp_path, "Nielsen", "NLS_PRD_1.csv", [period, "P,S,L,01/07/17,W,,,,,", "P,,L,01/14/17,W,,,,,"])
-    scan = catalog.scan_columns()
+    scan = catalog.SCAN_COLUMNS
 
     def week(geo, upc, day):
         return ",".join([geo, upc, day, *["1"] * 53, day])
