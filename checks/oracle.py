@@ -301,6 +301,12 @@ ORACLE: dict[str, str] = {
     "pipe_line_widths": """
         SELECT (SELECT count(*) FROM orders) + (SELECT count(*) FROM customer) AS total_rows,
                (SELECT count(*) FROM customer) AS off_rows""",
+    "ragged_rows": """
+        SELECT concat_ws(',', o_orderkey, o_custkey, o_orderstatus, 'EXTRA') AS Line
+        FROM orders WHERE o_orderstatus = 'P'""",
+    "piped_every_line": """
+        SELECT 'Processed' AS Status, count(*) AS total_rows FROM orders
+        UNION ALL SELECT 'Rejected', count(*) FROM orders""",
     "text_line_sink": orders_as(DASHED),
     "nested_file_scan": """
         SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, CAST(p_size AS VARCHAR) AS p_size,

@@ -152,7 +152,7 @@ def unique_dup_records(spark, sf):
 
 @query
 def key_counts(spark, sf):
-    return table(spark, sf, "lineitem").groupBy(*LINE_KEYS).agg(F.count(F.lit(1)).alias("n"))
+    return unique.key_counts(table(spark, sf, "lineitem"), LINE_KEYS).toDF(*LINE_KEYS, "n")
 
 
 @query
@@ -301,7 +301,7 @@ def except_keep_copies_rows(spark, sf):
 
 @query
 def distinct_rows(spark, sf):
-    return table(spark, sf, "conversations").select("role", "text").distinct()
+    return setops.distinct_keys(table(spark, sf, "conversations"), ["role", "text"])
 
 
 @query
@@ -399,9 +399,8 @@ def date_compare(spark, sf):
 
 @query
 def date_bounds(spark, sf):
-    df = orders(spark, sf, "MM/dd/yyyy")
-    day = merge.feed_day("o_orderdate")
-    return df.agg(F.min(day).alias("lo"), F.max(day).alias("hi"))
+    bounds = merge.date_bounds(orders(spark, sf, "MM/dd/yyyy"), merge.feed_day("o_orderdate"))
+    return spark.createDataFrame([bounds], "lo date, hi date")
 
 
 @query
@@ -588,6 +587,36 @@ def pipe_feed(spark, sf):
     return read_staged(spark, pipe_spec(), zones, "r1")
 
 
+def ragged_spec():
+    columns = ("o_orderkey", "o_custkey", "o_orderstatus")
+    return FeedSpec("orders_ragged", "/Raw/ragged/*/part-*.csv", 3, "append", columns)
+
+
+@query
+def ragged_rows(spark, sf):
+    """Lines that staging keeps as text because their number of fields is off."""
+    zones, spec = Zones(scratch_path(spark, "zones")), ragged_spec()
+    line = F.concat_ws(",", *[F.col(c).cast("string") for c in spec.columns])
+    more = F.when(F.col("o_orderstatus") == "P", F.concat(line, F.lit(",EXTRA"))).otherwise(line)
+    lines = table(spark, sf, "orders").select(more.alias(",".join(spec.columns)))
+    lines.write.csv(zones.raw("/Raw/ragged/in"), header=True, sep="\u0001")
+    stage(spark, spec, zones, "r1", CLOCK)
+    return spark.read.parquet(zones.line_records).select("Line")
+
+
+@query
+def piped_every_line(spark, sf):
+    """A headerless file is refused when a line behind its first is off."""
+    zones = Zones(scratch_path(spark, "zones"))
+    lines = order_lines(spark, sf)
+    lines.write.text(zones.raw("/Raw/orders/good"))
+    key = F.split("value", r"\|")[0].cast("bigint")
+    odd = F.when(key % 2 == 0, F.concat("value", F.lit("|EXTRA"))).otherwise(F.col("value"))
+    lines.select(odd.alias("value")).write.text(zones.raw("/Raw/orders/odd"))
+    files = stage(spark, pipe_spec(), zones, "r1", CLOCK)
+    return files.groupBy("Status").agg(F.sum("Total_row_Count").cast("bigint").alias("total_rows"))
+
+
 @query
 def pipe_line_widths(spark, sf):
     zones = raw_lines(spark, sf)

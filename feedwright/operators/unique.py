@@ -23,6 +23,11 @@ class RepeatedKeys:
     rows: int
 
 
+def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows per key as ``_n``; the key columns are named by ``key_names``."""
+    return df.groupBy(*key_columns(keys)).agg(F.count(F.lit(1)).alias("_n"))
+
+
 def repeated_keys(
     df: DataFrame, keys: Sequence[str], rows: Column | None = None, limits: Limits = DEFAULT_LIMITS
 ) -> RepeatedKeys:
@@ -32,12 +37,7 @@ def repeated_keys(
     a third of the rows travels as one row per task. Only the repeated keys are
     written.
     """
-    counted = (
-        (df if rows is None else df.where(rows))
-        .groupBy(*key_columns(keys))
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where("_n > 1")
-    )
+    counted = key_counts(df if rows is None else df.where(rows), keys).where("_n > 1")
     found = settle(counted, "repeated-keys", {"members": F.coalesce(F.sum("_n"), F.lit(0))}, sized=True)
     members = found.metrics["members"]
     hot = found.frame.where(F.col("_n") * limits.hot_share > members)
