@@ -99,6 +99,23 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+#: Bytes whose words are hashed at a time.
+HASH_BLOCK = 4_000_000
+
+
+def word_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    power = np.full(len(data), _BASE, np.uint64)
+    power[:1] = 1
+    power = np.multiply.accumulate(power)
+    prefix = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE_VALUE[data] * power, dtype=np.uint64)])
+    x = power[begin]
+    inverse = x.copy()  # of an odd number modulo 2^64, by Newton's iteration
+    for _ in range(5):
+        inverse *= np.uint64(2) - x * inverse
+    sums = (prefix[end] - prefix[begin]) * inverse
+    return mixed(sums + (end - begin).astype(np.uint64) * _BASE)
+
+
 class Words:
     """The words of many texts at once: runs of bytes outside ``separators``, with 64-bit hashes.
 
@@ -116,16 +133,16 @@ class Words:
         inside = np.concatenate([[False], is_word[data], [False]])
         edges = np.flatnonzero(inside[1:] != inside[:-1])
         self.begin, self.end = edges[::2], edges[1::2]
-        power = np.full(len(data), _BASE, np.uint64)
-        power[0] = 1
-        power = np.multiply.accumulate(power)
-        prefix = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE_VALUE[data] * power, dtype=np.uint64)])
-        x = power[self.begin]
-        inverse = x.copy()  # of an odd number modulo 2^64, by Newton's iteration
-        for _ in range(5):
-            inverse *= np.uint64(2) - x * inverse
-        sums = (prefix[self.end] - prefix[self.begin]) * inverse
-        self.hashes = mixed(sums + (self.end - self.begin).astype(np.uint64) * _BASE)
+        self.hashes = np.zeros(len(self.begin), np.uint64)
+        at = 0
+        while at < len(self.begin):
+            # As many words as one block of bytes holds, so that a long text needs no arrays of its length.
+            stop = max(at + 1, int(np.searchsorted(self.end, self.begin[at] + HASH_BLOCK, side="right")))
+            low = self.begin[at]
+            self.hashes[at:stop] = word_hashes(
+                data[low : self.end[stop - 1]], self.begin[at:stop] - low, self.end[at:stop] - low
+            )
+            at = stop
         ends = np.cumsum([len(p) + 1 for p in parts])
         self.first = np.concatenate([[0], np.searchsorted(self.begin, ends)])
 

@@ -12,7 +12,7 @@ import pytest
 
 import corpus_pipeline
 from checks.compare import ordered, sql_rows
-from feedwright.llm import decontam, exact, langid, licenses, linkgraph, minmax, packing, pii, quality, substring
+from feedwright.llm import common, decontam, exact, langid, licenses, linkgraph, minmax, packing, pii, quality, substring
 from feedwright.llm.oracle import ORACLE
 from feedwright.llm.queries import REGISTERED, tokenizer_path
 
@@ -34,6 +34,17 @@ def test_query_matches_its_sql(spark, name):
     assert found == ordered([c[0] for c in columns], rows)
 
 
+def test_word_hashes_depend_on_the_word_alone(monkeypatch):
+    r = random.Random(12)
+    parts = [" ".join("".join(r.choice("ab\u00e9") for _ in range(r.randint(0, 30))) for _ in range(50)).encode() for _ in range(20)]
+    whole = common.Words(parts)
+    monkeypatch.setattr(common, "HASH_BLOCK", 10)
+    assert (common.Words(parts).hashes == whole.hashes).all()
+    words = [whole.raw[s:e] for s, e in zip(whole.begin, whole.end)]
+    assert words == [w for p in parts for w in p.split()]
+    assert len(set(zip(words, whole.hashes.tolist()))) == len(set(words)) == len(set(whole.hashes.tolist()))
+
+
 # --- language ------------------------------------------------------------
 
 
