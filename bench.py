@@ -38,6 +38,9 @@ HEADLINE = [
     "master_run",
     "fact_run",
     "fact_run_errors",
+    "snapshot_restatement",
+    "fact_run_in_folders",
+    "merge_append_new_rows",
 ]
 
 

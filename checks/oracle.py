@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from feedwright.operators.records import BAD_KEY, DUPLICATE, FACT_LOOKUP
+
 
 def orders_as(form: str, where: str = "true", day: str = "o_orderdate") -> str:
     return f"""
@@ -147,6 +149,14 @@ def lines_checked(zero: str) -> str:
 EVENTS = "SELECT event_id, ts, user_id, event_type, value, props FROM events"
 AS_OF = "2002-03-15"
 
+SALES_CHECKED = """products AS (
+        SELECT p_partkey FROM part WHERE p_size > 2 AND p_partkey <> 0),
+    stores AS (SELECT s_suppkey FROM supplier WHERE s_nationkey > 3 AND s_suppkey <> 0),
+    sales AS (
+        SELECT *, l_returnflag = 'R' OR l_partkey = 0 OR l_suppkey = 0 AS bad, l_partkey IN (SELECT p_partkey FROM products) AS product,
+               l_suppkey IN (SELECT s_suppkey FROM stores) AS store
+        FROM lineitem)"""
+
 ORACLE: dict[str, str] = {
     "key_rule_clean": f"WITH f AS ({orders_as(DASHED)}) SELECT * FROM f WHERE o_orderkey NOT IN ('', '0') AND o_custkey NOT IN ('', '0')",
     "key_rule_errors": f"""
@@ -301,6 +311,30 @@ ORACLE: dict[str, str] = {
     "pipe_line_widths": """
         SELECT (SELECT count(*) FROM orders) + (SELECT count(*) FROM customer) AS total_rows,
                (SELECT count(*) FROM customer) AS off_rows""",
+    "catalog_weather": """
+        SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS zip, strftime(o_orderdate, '%Y-%m-%d') AS date,
+               o_orderstatus AS rh
+        FROM orders WHERE o_orderpriority <> '1-URGENT'""",
+    "catalog_product": """
+        SELECT CAST(p_partkey AS VARCHAR) AS ProductNbr, p_name AS ProductName FROM part WHERE p_size > 2 AND p_partkey <> 0
+        UNION ALL SELECT 'P2', min(p_name) FROM part WHERE p_size = 2 HAVING count(*) = 1""",
+    "catalog_product_errors": f"""
+        SELECT '{BAD_KEY.format("ProductNbr")}' AS Error_Description, count(*) AS n
+        FROM part WHERE p_size = 1 OR p_size > 2 AND p_partkey = 0 HAVING count(*) > 0
+        UNION ALL SELECT '{DUPLICATE.format("ProductNbr")}', count(*) FROM part WHERE p_size = 2 HAVING count(*) > 1""",
+    "catalog_sales": f"""
+        WITH {SALES_CHECKED}
+        SELECT CAST(l_orderkey AS VARCHAR) AS TotalSales, CAST(l_linenumber AS VARCHAR) AS TotalUnits,
+               CAST(l_suppkey AS VARCHAR) AS LocationNbr, CAST(l_partkey AS VARCHAR) AS ProductNbr
+        FROM sales WHERE NOT bad AND product AND store""",
+    "catalog_sales_errors": f"""
+        WITH {SALES_CHECKED}
+        SELECT '{BAD_KEY.format("LocationNbr, ProductNbr, TransWeek")}' AS Error_Description, count(*) AS n
+        FROM sales WHERE bad HAVING count(*) > 0
+        UNION ALL SELECT '{FACT_LOOKUP.format("ProductNbr")}', count(*) FROM sales
+        WHERE NOT bad AND NOT product HAVING count(*) > 0
+        UNION ALL SELECT '{FACT_LOOKUP.format("LocationNbr")}', count(*) FROM sales
+        WHERE NOT bad AND NOT store HAVING count(*) > 0""",
     "ragged_rows": """
         SELECT concat_ws(',', o_orderkey, o_custkey, o_orderstatus, 'EXTRA') AS Line
         FROM orders WHERE o_orderstatus = 'P'""",

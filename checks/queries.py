@@ -30,6 +30,7 @@ from feedwright.operators.lookups import (
     kept_rows,
     unknown_rows,
 )
+from feedwright.plans import catalog
 from feedwright.plans.enriching import (
     clean_rows,
     enrich,
@@ -817,3 +818,91 @@ def per_file_sink(spark, sf):
     write_per_file(merge_per_file(spark, sf), path)
     written = spark.read.parquet(path)
     return written.select(F.col("file").cast("string").alias("file"), "user_id", "props")
+
+
+# --- feeds of the catalog --------------------------------------------------
+
+
+def feed_rows(df, dataset: str, **values: str):
+    """The columns of a catalog feed as text: ``values`` are SQL expressions, other columns are null."""
+    columns = catalog.feeds()[dataset].columns
+    return df.select(*[F.expr(values.get(c, "null")).cast("string").alias(c) for c in columns])
+
+
+def run_feeds(spark, deliveries):
+    """Enrich deliveries of catalog feeds one after the other; the zones that hold the results."""
+    zones = Zones(scratch_path(spark, "zones"))
+    for dataset, df in deliveries.items():
+        enrich_frame(df, catalog.feeds()[dataset], catalog.feeds(), zones, "r1", CLOCK)
+    return zones
+
+
+def kept_feed(spark, zones, dataset: str):
+    return snapshot_of(spark, catalog.feeds()[dataset], zones).read()
+
+
+def error_counts(spark, zones, dataset: str):
+    errors = spark.read.parquet(zones.error_records).where(F.col("dataset") == dataset)
+    return errors.groupBy("Error_Description").agg(F.count(F.lit(1)).alias("n"))
+
+
+def product_rows(spark, sf):
+    """Parts as products: size 1 without a number, all of size 2 under one number."""
+    key = "case when p_size = 2 then 'P2' when p_size > 2 then cast(p_partkey as string) end"
+    return feed_rows(table(spark, sf, "part"), "TargetPOS_Product", ProductNbr=key, ProductName="p_name", UPC="p_partkey")
+
+
+def location_rows(spark, sf):
+    known = table(spark, sf, "supplier").where("s_nationkey > 3")
+    return feed_rows(known, "TargetPOS_Location", LocationNbr="s_suppkey", LocationName="s_name")
+
+
+def sales_rows(spark, sf):
+    """Lines as sales by month; returned ones lack their store."""
+    return feed_rows(
+        table(spark, sf, "lineitem"),
+        "TargetPOS_Sales",
+        TransWeek="date_format(date_trunc('month', l_shipdate), 'yyyy-MM-dd')",
+        LocationNbr="case when l_returnflag <> 'R' then l_suppkey end",
+        ProductNbr="l_partkey",
+        TotalSales="l_orderkey",
+        TotalUnits="l_linenumber",
+    )
+
+
+def sales_run(spark, sf):
+    masters = {"TargetPOS_Product": product_rows(spark, sf), "TargetPOS_Location": location_rows(spark, sf)}
+    return run_feeds(spark, masters | {"TargetPOS_Sales": sales_rows(spark, sf)})
+
+
+@query
+def catalog_weather(spark, sf):
+    """An append-distinct feed with a needed date."""
+    day = "case when o_orderpriority <> '1-URGENT' then date_format(o_orderdate, 'yyyy-MM-dd') end"
+    rows = feed_rows(table(spark, sf, "orders"), "Weather", zip="o_custkey", date=day, rh="o_orderstatus")
+    return kept_feed(spark, run_feeds(spark, {"Weather": rows}), "Weather").select("zip", "date", "rh")
+
+
+@query
+def catalog_product(spark, sf):
+    """A master with a needed, unique number."""
+    zones = run_feeds(spark, {"TargetPOS_Product": product_rows(spark, sf)})
+    return kept_feed(spark, zones, "TargetPOS_Product").select("ProductNbr", "ProductName")
+
+
+@query
+def catalog_product_errors(spark, sf):
+    zones = run_feeds(spark, {"TargetPOS_Product": product_rows(spark, sf)})
+    return error_counts(spark, zones, "TargetPOS_Product")
+
+
+@query
+def catalog_sales(spark, sf):
+    """A weekly fact with both its masters."""
+    kept = kept_feed(spark, sales_run(spark, sf), "TargetPOS_Sales")
+    return kept.select("TotalSales", "TotalUnits", "LocationNbr", "ProductNbr")
+
+
+@query
+def catalog_sales_errors(spark, sf):
+    return error_counts(spark, sales_run(spark, sf), "TargetPOS_Sales")
