@@ -8,10 +8,10 @@ probability 8e-5, and one at 0.8 with probability 5e-7. Documents with equal set
 
 Inside a bucket no pairs are listed. Its members are first compared with one
 pivot, pairs are confirmed on full shingle sets, and links join components.
-Buckets that still hold several components are finished in blocks: documents
-with the same lowest pivot are dealt to blocks of bounded size, and each pair of
-blocks that meets in such a bucket is compared as a whole across components, so
-no link between components is passed over. Components grow by alternating star
+Buckets that still hold several components are finished across components: a
+bucket up to a block's size as a whole, larger ones in blocks of documents with
+the same lowest pivot, pair of blocks by pair of blocks, so no link between
+components is passed over. Components grow by alternating star
 joins over tables.
 
 Null and wordless texts have an empty set and link with nothing, and so do rows
@@ -37,7 +37,7 @@ ROWS = 6
 PERCENT = 75
 #: Members compared with a pivot in one group, and documents in one block.
 GROUP = 400
-BLOCK = 64
+BLOCK = 192
 #: Distinct shingles that a comparison of two blocks holds at a time.
 COLUMNS = 16_384
 
@@ -161,10 +161,10 @@ def components(links: DataFrame) -> DataFrame:
     )
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = stored(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = stored(large.where("u <> v").distinct(), "large")
-        top = large.groupBy("u").agg(F.min("v").alias("m"))
+        top = stored(large.groupBy("u").agg(F.min("v").alias("m")), "top")
         small = large.join(top, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         new = stored(small.unionByName(top.select("u", F.col("m").alias("v"))).where("u <> v").distinct(), "edges")
         same = new.exceptAll(edges).limit(1).count() == 0 and edges.exceptAll(new).limit(1).count() == 0
@@ -194,8 +194,10 @@ def near_components(docs: DataFrame) -> DataFrame:
         .where("doc_id = doc")
         .select("doc", F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
     )
+    # Aggregates are stored before they are joined: a join of two plain shuffles lets Spark split hot keys.
     shared = members.groupBy("key").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last")
-    buckets = stored(members.join(shared.select("key"), "key").distinct(), "buckets")
+    shared = stored(shared.select("key"), "shared-keys")
+    buckets = stored(members.join(shared, "key").dropDuplicates(["key", "doc"]), "buckets")
     wanted = buckets.select("doc").distinct()
     candidates = stored(
         doc_columns(docs).withColumnRenamed("doc_id", "doc").join(wanted, "doc").select("doc", "text"), "candidates"
@@ -203,7 +205,7 @@ def near_components(docs: DataFrame) -> DataFrame:
     same = sets.join(classes.where("doc < last"), ["set_a", "set_b"]).where("doc_id <> doc")
     links = same.select(F.col("doc").alias("a"), F.col("doc_id").alias("b"))
     copies = links.distinct()
-    pivots = buckets.groupBy("key").agg(F.min(F.struct("doc", "n")).alias("p"))
+    pivots = stored(buckets.groupBy("key").agg(F.min(F.struct("doc", "n")).alias("p")), "bucket-pivots")
     pairs = buckets.join(pivots, "key").where("doc <> p.doc").where(near_size("n", "p.n"))
     pairs = pairs.select(F.col("p.doc").alias("a"), F.col("doc").alias("b")).distinct()
     links = stored(confirmed(pairs, candidates).unionByName(copies), "links")
@@ -221,12 +223,28 @@ def star_links(labels: DataFrame) -> DataFrame:
 
 
 def across_components(buckets: DataFrame, labels: DataFrame, candidates: DataFrame) -> DataFrame:
-    """Links (a, b) between different components that share a bucket, found block by block."""
+    """Links (a, b) between different components that share a bucket.
+
+    A bucket of at most ``BLOCK`` documents is compared as a whole. The documents
+    of larger buckets are dealt to blocks, and pairs of blocks are compared.
+    """
     rows = buckets.join(labels, "doc", "left").withColumn("label", F.coalesce("label", "doc"))
-    several = rows.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.min("doc").alias("lead"))
-    rows = stored(rows.join(several.where("x < y").select("key", "lead"), "key"), "open")
-    lead = rows.groupBy("doc", "label").agg(F.min("lead").alias("lead"))
-    lead = stored(lead, "leads")
+    several = rows.groupBy("key").agg(
+        F.min("label").alias("x"),
+        F.max("label").alias("y"),
+        F.min("doc").alias("lead"),
+        F.count(F.lit(1)).alias("size"),
+        F.bit_xor(F.xxhash64("doc")).alias("same"),
+    )
+    # Buckets with the same members need one comparison.
+    several = several.where("x < y").dropDuplicates(["lead", "size", "same"])
+    several = stored(several.select("key", "lead", "size"), "several")
+    rows = stored(rows.join(several, "key"), "open")
+    small = rows.where(F.col("size") <= BLOCK).select(
+        F.col("key").alias("block"), F.col("key").alias("other"), F.lit(0).alias("side"), "doc", "label"
+    )
+    rows = rows.where(F.col("size") > BLOCK)
+    lead = stored(rows.groupBy("doc", "label").agg(F.min("lead").alias("lead")), "leads")
     sizes = lead.groupBy("lead").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts"))
     blocks = lead.join(sizes, "lead").select(
         "doc", "label", F.xxhash64("lead", F.pmod(F.xxhash64("doc"), F.col("parts"))).alias("block")
@@ -241,7 +259,8 @@ def across_components(buckets: DataFrame, labels: DataFrame, candidates: DataFra
         pairs.where("block <> other").select("block", "other", F.lit(1).alias("side"), F.col("other").alias("own"))
     )
     own = blocks.withColumnRenamed("block", "own")
-    members = sides.join(own, "own").select("block", "other", "side", "doc", "label").join(candidates, "doc")
+    large = sides.join(own, "own").select("block", "other", "side", "doc", "label")
+    members = small.unionByName(large).join(candidates, "doc")
 
     def compare(group: pa.Table) -> pa.Table:
         side, ids = group.column("side").to_numpy(), group.column("doc").to_numpy()
@@ -261,8 +280,12 @@ def across_components(buckets: DataFrame, labels: DataFrame, candidates: DataFra
 
 def shared_counts(flat: np.ndarray, starts: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """How many shingles each left set shares with each right set, by products of 0/1 matrices."""
-    column = np.unique(flat, return_inverse=True)[1]
+    _, column, count = np.unique(flat, return_inverse=True, return_counts=True)
     row = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
+    # Sets are distinct inside, so a shingle met once is in one set only and shared with none.
+    number = np.cumsum(count > 1) - 1
+    common = count[column] > 1
+    column, row = number[column[common]], row[common]
     out = np.zeros((len(left), len(right)), np.int64)
     for first in range(0, int(column.max(initial=-1)) + 1, COLUMNS):
         here = (column >= first) & (column < first + COLUMNS)
