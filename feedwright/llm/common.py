@@ -64,7 +64,7 @@ def text_crc(name: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(name).cast("string")), F.lit(0))
 
 
-def slices(batch: pa.RecordBatch, column: str = "text", limit: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str = "text", limit: int = 1_000_000) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with at most ``limit`` bytes of text each; a longer text stands alone."""
     sizes = batch.column(column)
     ends = list(accumulate(len(x) if (x := v.as_buffer()) is not None else 0 for v in sizes))

@@ -36,7 +36,7 @@ END_ID = 0
 SHARD_PIECES = 3_000
 ROUNDS = 4
 #: Distinct chunks whose ids a worker remembers before it starts anew.
-MEMORY = 1_500_000
+MEMORY = 500_000
 
 
 def latin(text: str) -> bool:
@@ -67,7 +67,7 @@ class ChunkTokenizer:
     """
 
     MARKS = ".,;:!?"
-    SLOT_BITS = 22
+    SLOT_BITS = 21
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
@@ -171,7 +171,7 @@ def pieces(docs: DataFrame, tokenizer: str, with_ids: bool = False, sequence: in
         model = worker_tokenizer(tokenizer)
         row = 0
         for whole in batches:
-            for b in slices(whole, limit=1_000_000):
+            for b in slices(whole, limit=500_000):
                 ids, bounds = model.encode(texts(b))
                 raw = memoryview(ids.tobytes())
                 doc_ids = b.column("doc_id").to_pylist()

@@ -71,7 +71,7 @@ def document_stretches(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for b in slices(whole, limit=2_000_000):
+            for b in slices(whole, limit=1_000_000):
                 parts = utf8_texts(b)
                 words = Words(parts)
                 counts = np.diff(words.first)
@@ -121,7 +121,7 @@ def _window_repeats(marked: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, limit=2_000_000):
+            for batch in slices(whole, limit=1_000_000):
                 words = Words(utf8_texts(batch))
                 hashed = memoryview(words.hashes.tobytes())
                 ids, shas = batch.column("doc_id").to_pylist(), batch.column("sha").to_pylist()
