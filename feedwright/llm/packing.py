@@ -63,11 +63,15 @@ class ChunkTokenizer:
     are those of its chunks in order. Chunks are found and hashed as arrays; one
     seen before costs a look into an open-addressed table. A new chunk of Latin
     letters, perhaps with one mark behind, needs only the ids of its word and
-    mark; any other goes through the whole tokenizer.
+    mark; any other goes through the whole tokenizer. Chunks are looked up in
+    runs, and the table is emptied before a run that could fill more than half
+    of it, so texts may hold any number of distinct chunks.
     """
 
     MARKS = ".,;:!?"
     SLOT_BITS = 21
+    #: Chunks that go through the whole tokenizer at a time.
+    BATCH = 10_000
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
@@ -113,8 +117,10 @@ class ChunkTokenizer:
     def learn(self, keys: np.ndarray, new: list[str]) -> None:
         found = [self.chunk(c) for c in new]
         others = [i for i, f in enumerate(found) if f is None]
-        for i, e in zip(others, self.model.encode_batch([new[i] for i in others], add_special_tokens=False)):
-            found[i] = e.ids
+        for at in range(0, len(others), self.BATCH):
+            part = others[at : at + self.BATCH]
+            for i, e in zip(part, self.model.encode_batch([new[i] for i in part], add_special_tokens=False)):
+                found[i] = e.ids
         count = np.fromiter(map(len, found), np.int64, len(found))
         numbers = np.arange(len(self.keys), len(self.keys) + len(keys))
         self.first = np.concatenate([self.first, len(self.ids) + np.cumsum(count) - count])
@@ -129,27 +135,39 @@ class ChunkTokenizer:
             numbers = numbers[self.slots[at] != numbers]
             probe += 1
 
-    def encode(self, docs: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids, each document's followed by the end id, and where documents begin and end."""
-        if len(self.keys) > MEMORY:
-            self.forget()
-        parts = [(t.lower() if latin(t) else t).encode() for t in docs]
-        chunks = Words(parts, (0x20, 0x0A))
-        keys, begin, end, raw = chunks.hashes, chunks.begin, chunks.end, chunks.raw
+    def run_ids(self, chunks: Words, start: int, stop: int) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each chunk of a run has, and the ids of all in order."""
+        keys = chunks.hashes[start:stop]
         at = self.find(keys)
         missing = np.flatnonzero(at < 0)
         if len(missing):
             new, where = np.unique(keys[missing], return_index=True)
-            where = missing[where]
-            self.learn(new, [raw[s:e].decode() for s, e in zip(begin[where].tolist(), end[where].tolist())])
+            where = missing[where] + start
+            begin, end = chunks.begin[where].tolist(), chunks.end[where].tolist()
+            self.learn(new, [chunks.raw[s:e].decode() for s, e in zip(begin, end)])
             at[missing] = self.find(keys[missing])
         count = self.count[at]
-        tokens = np.concatenate([[0], np.cumsum(count)])
-        before = tokens[:-1]
+        before = np.cumsum(count) - count
+        return count, self.ids[np.repeat(self.first[at] - before, count) + np.arange(int(count.sum()))]
+
+    def encode(self, docs: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids, each document's followed by the end id, and where documents begin and end."""
+        parts = [(t.lower() if latin(t) else t).encode() for t in docs]
+        chunks = Words(parts, (0x20, 0x0A))
+        half = 1 << (self.SLOT_BITS - 1)
+        run = half // 2
+        counts, flats = [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]
+        for start in range(0, len(chunks.hashes), run):
+            if len(self.keys) > min(MEMORY, half - run):
+                self.forget()
+            count, flat = self.run_ids(chunks, start, min(start + run, len(chunks.hashes)))
+            counts.append(count)
+            flats.append(flat)
+        tokens = np.concatenate([[0], np.cumsum(np.concatenate(counts))])
+        flat = np.concatenate(flats)
         per_doc = np.diff(tokens[chunks.first])
         total = int(tokens[-1])
         order = np.arange(total)
-        flat = self.ids[np.repeat(self.first[at] - before, count) + order]
         out = np.full(total + len(docs), END_ID, np.uint32)
         out[order + np.repeat(np.arange(len(docs)), per_doc)] = flat
         return out, np.concatenate([[0], np.cumsum(per_doc + 1)])

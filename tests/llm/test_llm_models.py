@@ -4,6 +4,7 @@ import hashlib
 import os
 import random
 import re
+import signal
 import zlib
 from collections import Counter, defaultdict
 
@@ -127,6 +128,19 @@ def test_chunk_ids_equal_whole_ids():
             assert ids[s:e].tolist() == [*model.model.encode(t, add_special_tokens=False).ids, 0], t
 
 
+def test_more_chunks_than_slots(monkeypatch):
+    monkeypatch.setattr(packing.ChunkTokenizer, "SLOT_BITS", 6)
+    model = packing.ChunkTokenizer(tokenizer_path())
+    signal.alarm(60)
+    try:
+        for text in (" ".join(f"{i}x" for i in range(67)), " ".join(f"{i % 90}y z{i}" for i in range(400))):
+            ids, bounds = model.encode(["a b", text, "", text])
+            wanted = [[*model.model.encode(t, add_special_tokens=False).ids, 0] for t in ("a b", text, "", text)]
+            assert [ids[s:e].tolist() for s, e in zip(bounds, bounds[1:])] == wanted
+    finally:
+        signal.alarm(0)
+
+
 def test_sum_of_squares_takes_the_smallest_sum():
     lengths = np.array(random.Random(5).choices(range(1, 17), k=200))
     bins, offsets = packing.sum_of_squares(lengths, 16)
