@@ -63,7 +63,8 @@ class ChunkTokenizer:
     are those of its chunks in order. Chunks are found and hashed as arrays; one
     seen before costs a look into an open-addressed table. A new chunk of Latin
     letters, perhaps with one mark behind, needs only the ids of its word and
-    mark; any other goes through the whole tokenizer. Chunks are looked up in
+    mark; any other, such as one that holds an added token, goes through the
+    whole tokenizer. Chunks are looked up in
     runs, and the table is emptied before a run that could fill more than half
     of it, so texts may hold any number of distinct chunks.
     """
@@ -77,7 +78,7 @@ class ChunkTokenizer:
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
-        self.model.encode_special_tokens = True
+        self.added = [t.content.lower() for t in self.model.get_added_tokens_decoder().values()]
         self.words = self.model.model
         self.spell = byte_letters()
         self.marks = {m: self.model.encode(m, add_special_tokens=False).ids for m in self.MARKS} | {"": []}
@@ -90,6 +91,11 @@ class ChunkTokenizer:
         self.count = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
 
+    def lowered(self, text: str) -> str:
+        """Text that is lower-cased where this changes no id: added tokens such as <|endoftext|> match by case."""
+        low = text.lower()
+        return low if latin(text) and not any(t in low for t in self.added) else text
+
     def chunk(self, text: str) -> list[int] | None:
         """Ids of a chunk of Latin letters and at most one mark; None for any other."""
         word, mark = (text[:-1], text[-1]) if text[-1] in self.MARKS else (text, "")
@@ -152,7 +158,7 @@ class ChunkTokenizer:
 
     def encode(self, docs: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, each document's followed by the end id, and where documents begin and end."""
-        parts = [(t.lower() if latin(t) else t).encode() for t in docs]
+        parts = [self.lowered(t).encode() for t in docs]
         chunks = Words(parts, (0x20, 0x0A))
         half = 1 << (self.SLOT_BITS - 1)
         run = half // 2

@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from checks.compare import ordered, sql_rows
@@ -141,6 +142,17 @@ def test_more_chunks_than_slots(monkeypatch):
         signal.alarm(0)
 
 
+def test_added_tokens_as_a_fresh_tokenizer_has_them():
+    fresh = Tokenizer.from_file(tokenizer_path())
+    texts = ["hello <|endoftext|> world", "HELLO <|EndOfText|> World.", "a<|endoftext|>b", "É<|startoftext|><|ENDOFTEXT|>, x", "日本 <|endoftext|>日<|EndOfText|>"]
+    model = packing.ChunkTokenizer(tokenizer_path())
+    for _ in range(2):
+        ids, bounds = model.encode(texts + ODD_TEXTS)
+        for t, s, e in zip(texts + ODD_TEXTS, bounds, bounds[1:]):
+            assert ids[s:e].tolist() == [*fresh.encode(t, add_special_tokens=False).ids, 0], t
+    assert ids[: bounds[1]].tolist() == [3306, 49407, 1002, 0]
+
+
 def test_sum_of_squares_takes_the_smallest_sum():
     lengths = np.array(random.Random(5).choices(range(1, 17), k=200))
     bins, offsets = packing.sum_of_squares(lengths, 16)
