@@ -10,8 +10,12 @@ rules block. Both start from the same total of pages, so they compare; a host
 whose distrust holds more than ``BLOCK_ABOVE`` of both is blocked, any other is
 allowed.
 
+Both move until they settle: no host is newly reached and no host's trust or
+distrust changes by more than ``TOLERANCE`` of itself over ``STEPS`` steps, so a
+chain of links counts whatever its length.
+
 Everything is DataFrame work. Edges are counted per pair of hosts before they
-are joined, and each iteration is a stored table. Null urls and urls without
+are joined, and every ``STEPS`` steps are a stored table. Null urls and urls without
 ``://`` have an empty host and path, fit no rule and are allowed.
 """
 
@@ -26,7 +30,11 @@ from pyspark.sql import functions as F
 from feedwright.llm.common import stored
 
 DAMPING = 0.85
+#: Steps that propagation takes where no tolerance is given.
 ITERATIONS = 10
+#: Largest change of a score, as a share of itself, over the steps of one stored table that counts as settled.
+TOLERANCE = 1e-6
+STEPS = 5
 #: Share of distrust in a host's trust and distrust beyond which it is blocked.
 BLOCK_ABOVE = 0.6
 #: Rules are compiled into one expression; longer lists are refused.
@@ -113,8 +121,14 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return every.groupBy("src", "dst").agg(F.sum("weight").alias("weight"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, iterations: int = ITERATIONS, damping: float = DAMPING) -> DataFrame:
-    """host, trust and distrust after so many steps.
+def propagate(
+    edges: DataFrame,
+    seeds: DataFrame,
+    iterations: int = ITERATIONS,
+    damping: float = DAMPING,
+    tolerance: float | None = None,
+) -> DataFrame:
+    """host, trust and distrust after so many steps; with a tolerance, after as many as they need to settle.
 
     ``seeds`` holds host, kind (trust, distrust) and a positive weight. Both
     kinds move in one join per step, distrust over the reversed edges.
@@ -129,13 +143,26 @@ def propagate(edges: DataFrame, seeds: DataFrame, iterations: int = ITERATIONS,
     )
     total = seeds.agg(F.coalesce(F.sum("weight"), F.lit(1.0)).alias("total")).first()["total"]
     start = stored(seeds.select("kind", "host", (F.col("weight") / F.lit(total)).alias("score")), "seeds")
-    score = start
-    for _ in range(iterations):
-        moved = score.join(arcs.withColumnRenamed("src", "host"), ["kind", "host"]).select(
-            "kind", F.col("dst").alias("host"), (F.lit(damping) * F.col("score") * F.col("share")).alias("score")
-        )
-        again = start.select("kind", "host", (F.lit(1 - damping) * F.col("score")).alias("score"))
-        score = stored(moved.unionByName(again).groupBy("kind", "host").agg(F.sum("score").alias("score")), "score")
+    arcs = arcs.withColumnRenamed("src", "host")
+    again = start.select("kind", "host", (F.lit(1 - damping) * F.col("score")).alias("score"))
+    stay, score, done = F.lit(0.0).alias("before"), start, 0
+    while tolerance is not None or done < iterations:
+        steps = STEPS if tolerance is not None else min(STEPS, iterations - done)
+        before = score.select("kind", "host", F.lit(0.0).alias("score"), F.col("score").alias("before"))
+        for i in range(steps):
+            moved = score.where("score > 0").join(arcs, ["kind", "host"]).select(
+                "kind", F.col("dst").alias("host"), (F.lit(damping) * F.col("score") * F.col("share")).alias("score")
+            )
+            moved = moved.unionByName(again).select("kind", "host", "score", stay)
+            if i == steps - 1:
+                moved = moved.unionByName(before)
+            score = moved.groupBy("kind", "host").agg(F.sum("score").alias("score"), F.sum("before").alias("before"))
+        score = stored(score, "score")
+        done += steps
+        if tolerance is not None:
+            change = F.abs(F.col("score") - F.col("before"))
+            if not score.where(change > F.lit(tolerance) * F.col("score")).limit(1).count():
+                break
     return score.groupBy("host").agg(
         *[F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("score"))), F.lit(0.0)).alias(k) for k in ("trust", "distrust")]
     )
@@ -147,7 +174,7 @@ def judge(pages: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
     kind = F.when(F.col("rule_verdict") == "allow", "trust").when(F.col("rule_verdict") == "block", "distrust")
     seeds = rows.where("rule is not null").groupBy("host", kind.alias("kind"))
     seeds = stored(seeds.agg(F.count(F.lit(1)).cast("double").alias("weight")), "host-seeds")
-    hosts = stored(propagate(stored(host_edges(pages), "host-edges"), seeds), "hosts")
+    hosts = stored(propagate(stored(host_edges(pages), "host-edges"), seeds, tolerance=TOLERANCE), "hosts")
     trust, distrust = (F.coalesce(c, F.lit(0.0)) for c in ("trust", "distrust"))
     own = F.when(distrust > F.lit(BLOCK_ABOVE) * (trust + distrust), "block").otherwise("allow")
     return rows.join(hosts, "host", "left").select(

@@ -391,6 +391,29 @@ def test_rules_and_propagation(spark):
         assert abs(x["trust"] - t[i]) < 1e-9 and abs(x["distrust"] - d[i]) < 1e-9
 
 
+def test_propagation_reaches_the_end_of_a_chain(spark):
+    names = [*(f"c{i:02}.net" for i in range(13)), "bad.com"]
+    pages = [(i, f"http://{a}/x", f"<a href=http://{b}/>") for i, (a, b) in enumerate(zip(names, names[1:]))]
+    pages += [(13, "http://bad.com/de/1", "<a href=http://c12.net/>"), (14, "http://good.org/a", "<a href=//c03.net/>")]
+    found = linkgraph.judge(spark.createDataFrame(pages, "page_id bigint, url string, html string")).collect()
+    got = {r["host"]: r for r in found}
+    assert {h: r["verdict"] for h, r in got.items() if h not in ("bad.com", "good.org")} == {
+        h: "allow" if 0.6 * (got[h]["trust"] + got[h]["distrust"]) >= got[h]["distrust"] else "block" for h in names[:-1]
+    }
+    assert all(got[h]["verdict"] == "block" for h in names[:3])
+    names.append("good.org")
+    forward = np.zeros((15, 15))
+    for a, b in [*zip(range(13), range(1, 14)), (13, 12), (14, 3)]:
+        forward[a, b] = 1
+    seed = {"trust": ("good.org", forward), "distrust": ("bad.com", forward.T)}
+    for kind, (host, links) in seed.items():
+        share = links / np.maximum(1, links.sum(axis=1, keepdims=True))
+        start = np.array([0.5 * (n == host) for n in names])
+        score = np.linalg.solve(np.eye(15) - 0.85 * share.T, 0.15 * start)
+        for n, x in zip(names, score):
+            assert abs(got[n][kind] - x) <= 1e-4 * x, (kind, n)
+
+
 def test_licenses_anywhere_in_a_text(spark):
     r = random.Random(11)
     filler = lambda: " ".join(f"w{r.randint(0, 99)}" for _ in range(r.randint(0, 70)))
