@@ -1,16 +1,18 @@
 """License scans by MinHash bands over overlapping text windows, in DataFrame functions only.
 
 Words are runs of letters a-z (A-Z lower-cased) and digits; shingles are five
-words. Templates fall in size classes by powers of two of their shingles. For
-each class a document is cut into windows of twice the class size, overlapping
-by half, so every occurrence of a template lies inside one window. Window and
-template signatures hold 64 minima, each a band of its own: an occurrence of
-three quarters of a template has a similarity of at least 3/17 to its window, so
-all 64 bands miss it with probability below 4e-6. What a band retrieves is
+words. Templates fall in size classes by powers of two of their shingles. A
+notice counts where three quarters of its shingles lie in a span of twice the
+class size, so words may be put in or left out. A best span can begin at a
+template's shingle, so for each class a document is cut into one window of that
+length from every shingle of the class's templates on: each span is a window,
+wherever it stands. Window and template signatures hold 64 minima, each a band
+of its own: an occurrence of three quarters of a template has a similarity of at
+least 3/17 to its window, so all 64 bands miss it with probability below 4e-6. What a band retrieves is
 verified on the shingles' words: 100 * shared >= 75 * (shingles of the template).
 
-A window that shares no shingle hash with any template cannot verify and is left
-out before its signature is computed; this loses nothing. A template of fewer
+A document that shares no shingle hash with any template cannot verify and is left
+out before it is cut; this loses nothing. A template of fewer
 than five words is one shingle of all its words and found only as the whole of a
 document's words; a template without words is ignored. Null and wordless texts
 match nothing. Repeated rows are reported as one document.
@@ -103,7 +105,7 @@ def band_rows(df: DataFrame) -> DataFrame:
 def scan(docs: DataFrame, templates: DataFrame) -> DataFrame:
     """doc_id, license, n_shared and n_template: every license notice that a document holds.
 
-    ``n_shared`` is the largest number of the notice's shingles in one window.
+    ``n_shared`` is the largest number of the notice's shingles in one span.
     """
     spark = docs.sparkSession
     known = templates.select("license", words_column(F.col("text")).alias("words")).where(F.size("words") > 0)
@@ -117,26 +119,32 @@ def scan(docs: DataFrame, templates: DataFrame) -> DataFrame:
     result = "doc_id bigint, license string, n_shared int, n_template int"
     if not sizes:
         return spark.createDataFrame([], result)
-    # The set of all template hashes is bounded; it is a constant of the plan.
-    of_templates = F.array(*[F.lit(h) for r in known.select("hashes").collect() for h in r["hashes"]])
+    # The template hashes are bounded; they are constants of the plan.
+    hashes_of: dict[int, set[int]] = {size: set() for size in sizes}
+    for r in known.select("size_class", "hashes").collect():
+        hashes_of[r["size_class"]].update(r["hashes"])
+
+    def constants(hashes: set[int]) -> Column:
+        return F.array(*[F.lit(h) for h in sorted(hashes)])
+
+    of_templates = constants(set().union(*hashes_of.values()))
     # One-element arrays are exploded so that words and hashes are computed once a row:
     # a plain projection would be merged into the lambdas that read it and run again for each element.
     rows = doc_columns(docs).select("doc_id", F.explode(F.array(words_column(F.col("text")))).alias("words"))
     rows = rows.select("doc_id", "words", F.explode(F.array(shingle_hashes(F.col("words")))).alias("hashes"))
     rows = rows.where(F.arrays_overlap("hashes", of_templates))
-    classes = F.array(*[F.lit(s) for s in sizes])
 
-    def windows_of(size: Column) -> Column:
-        starts = F.sequence(F.lit(1), F.size("hashes"), size)
-        cut = F.transform(
-            starts,
+    def windows_of(size: int) -> Column:
+        own = constants(hashes_of[size])
+        places = F.transform("hashes", lambda h, i: F.when(F.array_contains(own, h), i + 1))
+        return F.transform(
+            F.filter(places, lambda at: at.isNotNull()),
             lambda at: F.struct(
-                size.alias("size_class"), at.alias("at"), F.slice("hashes", at, 2 * size).alias("hashes")
+                F.lit(size).alias("size_class"), at.alias("at"), F.slice("hashes", at, F.lit(2 * size)).alias("hashes")
             ),
         )
-        return F.filter(cut, lambda w: F.arrays_overlap(w["hashes"], of_templates))
 
-    windows = rows.select("doc_id", "words", F.explode(F.flatten(F.transform(classes, windows_of))).alias("w"))
+    windows = rows.select("doc_id", "words", F.explode(F.concat(*map(windows_of, sizes))).alias("w"))
     windows = windows.select(
         "doc_id",
         F.col("w.size_class").alias("size_class"),

@@ -432,6 +432,21 @@ def test_licenses_anywhere_in_a_text(spark):
     assert not any(got[d] for d in plain)
 
 
+def test_edited_notices_at_all_offsets(spark):
+    docs, wanted = [], []
+    for name, shared in (("Apache-2.0 notice", 23), ("MIT notice", 21)):
+        words = re.findall("[a-z0-9]+", licenses.TEMPLATES[name].lower())
+        middle = len(words) // 2
+        for put_in in (12, 16, 20, 30):
+            edited = words[:middle] + [f"x{i}" for i in range(put_in)] + words[middle:]
+            for offset in range(65):
+                wanted.append((len(docs), name, shared))
+                docs.append((len(docs), " ".join([f"w{i}" for i in range(offset)] + edited + ["end"] * 70)))
+    found = licenses.scan(spark.createDataFrame(docs, "doc_id bigint, text string"), licenses.template_table(spark)).collect()
+    got = {(r["doc_id"], r["license"], r["n_shared"]) for r in found}
+    assert not [w for w in wanted if w not in got]
+
+
 # --- quality and the pipeline --------------------------------------------
 
 
