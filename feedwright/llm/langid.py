@@ -1,7 +1,8 @@
 """Language identification by language-bitmask n-gram filters.
 
-Learning counts the letter trigrams of a bounded sample of labelled documents
-per language. A language contains a trigram when the trigram's rate in it is at
+Learning counts the letter trigrams of a bounded sample of labelled texts per
+language: pieces of texts, equal texts taken once, drawn by hash at the rate
+that gives the sample, so one long text is drawn in parts and copies weigh no more. A language contains a trigram when the trigram's rate in it is at
 least ``MIN_RATE`` and at least ``MIN_SHARE`` of its highest rate in any
 language, so stray foreign passages teach nothing. All languages share one
 bit-sliced Bloom filter: every slot holds one bit per language, and the
@@ -28,8 +29,10 @@ from pyspark.sql import functions as F
 from feedwright.llm.common import doc_columns, slices, stored, text_crc, texts, whole_rows
 
 UNDETERMINED = "und"
-#: Characters learned per language: texts are drawn by hash at the rate that gives so many.
+#: Characters learned per language: pieces of distinct texts are drawn by hash at the rate that gives so many.
 SAMPLE_CHARS = 3_000_000
+#: Characters of a piece.
+PIECE_CHARS = 10_000
 MIN_RATE = 1e-5
 MIN_SHARE = 0.2
 SLOTS = 1 << 18
@@ -128,6 +131,27 @@ def held_out(name: str = "doc_id") -> Column:
     return F.pmod(text_crc(name), F.lit(4)) == 2
 
 
+def sample(known: DataFrame, sample_chars: int = SAMPLE_CHARS) -> tuple[list[str], DataFrame]:
+    """All languages of ``known`` (lang, text), and lang and text of the pieces to learn from."""
+    # One-element arrays are exploded so that a text is hashed once, not for each of its pieces.
+    facts = F.struct(F.xxhash64("text").alias("hash"), F.length("text").alias("n"))
+    rows = known.select("lang", "text", F.explode(F.array(facts)).alias("f")).select("lang", "text", "f.hash", "f.n")
+    once = known.groupBy("lang", F.xxhash64("text").alias("hash")).agg(F.max(F.length("text")).alias("n"))
+    sizes = {r["lang"]: r["n"] for r in once.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
+    if not sizes:
+        return [], known
+    rate = F.create_map(*[F.lit(x) for k in sorted(sizes) for x in (k, min(1.0, sample_chars / max(1, sizes[k])))])
+    size = F.lit(PIECE_CHARS)
+    last = F.greatest(F.ceil(F.col("n") / size), F.lit(1)).cast("int") - 1
+    drawn = F.filter(
+        F.sequence(F.lit(0), last),
+        lambda i: F.pmod(F.xxhash64("hash", i), F.lit(1 << 30)) / float(1 << 30) < rate[F.col("lang")],
+    )
+    cut = F.transform(drawn, lambda i: F.struct(i.alias("piece"), F.substring(F.col("text"), i * size + 1, size).alias("text")))
+    parts = rows.select("lang", "hash", F.explode(cut).alias("p")).select("lang", "hash", "p.piece", "p.text")
+    return sorted(sizes), parts.distinct().select("lang", "text")
+
+
 def learn(docs: DataFrame, sample_chars: int = SAMPLE_CHARS) -> LanguageFilter:
     """Learn from text and non-null ``lang`` of documents that are not held out.
 
@@ -136,12 +160,9 @@ def learn(docs: DataFrame, sample_chars: int = SAMPLE_CHARS) -> LanguageFilter:
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out()).select(
         F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")
     )
-    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.sum(F.length("text")).alias("n")).collect()}
-    languages = sorted(sizes)
+    languages, drawn = sample(known, sample_chars)
     if not languages:
         return LanguageFilter([], np.zeros((1, SLOTS), np.uint64))
-    rate = F.create_map(*[F.lit(x) for k in languages for x in (k, min(1.0, sample_chars / max(1, sizes[k])))])
-    draw = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -156,7 +177,6 @@ def learn(docs: DataFrame, sample_chars: int = SAMPLE_CHARS) -> LanguageFilter:
                         ["lang", "gram", "n"],
                     )
 
-    drawn = known.where(draw < rate[F.col("lang")])
     counted = drawn.mapInArrow(count, "lang string, gram bigint, n bigint")
     counted = stored(counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")), "trigrams")
     totals = {r["lang"]: r["n"] for r in counted.groupBy("lang").agg(F.sum("n").alias("n")).collect()}

@@ -77,6 +77,26 @@ def test_held_out_languages(spark):
     assert sum(held) / len(held) > 0.95
 
 
+def test_long_texts_and_copies_are_learned_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(langid, "PIECE_CHARS", 100, raising=False)
+    r = random.Random(13)
+    alphabets = {"a": "abcdef", "b": "ghijkl", "c": "mnopqr", "d": "stuvwx", "e": "yzäöüß"}
+    make = lambda k, n: "".join(r.choice(alphabets[k] + " ") for _ in range(n))
+    ids = (i for i in range(10_000) if zlib.crc32(str(i).encode()) % 4 != 2)
+    rows = [(next(ids), k, make(k, 200_000)) for k in alphabets]
+    copied = make("f", 3_000) if alphabets.setdefault("f", "123éèê") else ""
+    rows += [(next(ids), "f", t) for t in [copied] * 60 + [make("f", 3_000) for _ in range(60)]]
+    docs = spark.createDataFrame(rows, "doc_id bigint, lang string, text string")
+    learned = langid.learn(docs, 20_000)
+    assert learned.languages == sorted(alphabets)
+    assert learned.predict([make(k, 500) for k in sorted(alphabets)])[0] == sorted(alphabets)
+    chars, pieces = Counter(), Counter()
+    for x in langid.sample(docs.select("lang", "text"), 20_000)[1].collect():
+        chars[x["lang"]] += len(x["text"])
+        pieces[x["text"]] += 1
+    assert all(15_000 < chars[k] < 25_000 for k in alphabets) and max(pieces.values()) == 1
+
+
 # --- personal data -------------------------------------------------------
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
