@@ -7,11 +7,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedwright.llm import decontam, exact, langid, licenses, linkgraph, minmax, packing, pii, quality, substring
-from feedwright.llm.common import table
+from feedwright.llm import (
+    bytebpe,
+    decontam,
+    exact,
+    langid,
+    licenses,
+    linkgraph,
+    merkle,
+    minmax,
+    packing,
+    pii,
+    prefixes,
+    quality,
+    substring,
+)
+from feedwright.llm.common import table, text_crc
 
 REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 TOKENIZER = "word_bpe_49k.json"
+RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -83,3 +98,32 @@ def op9_license_scan(spark, sf):
 def op10_quality(spark, sf):
     docs = table(spark, sf, "documents")
     return quality.score(docs, quality.learn(docs, table(spark, sf, "labels")))
+
+
+@query
+def op11_byte_bpe(spark, sf):
+    import public_tokenizers
+
+    model = tokenizer_path(RANKS), public_tokenizers.PATTERN
+    return bytebpe.digests(bytebpe.decoded(bytebpe.encoded(table(spark, sf, "documents"), *model), *model))
+
+
+@query
+def op12_merkle_manifest(spark, sf):
+    # A tampered row claims one more character than the manifest was built from.
+    more = F.col("n_chars").cast("bigint") + F.when(text_crc() % 7 == 0, 1).otherwise(0)
+    made = merkle.document_manifest(table(spark, sf, "documents"), merkle.document_leaf({"n_chars": more}))
+    checked = merkle.verified(made.proofs(), made.root)
+    shown = {n: F.lower(F.hex(c)) for n, c in (("leaf", "leaf"), ("subroot", "subroot"), ("proof_sha256", "proof_sha256"))}
+    return checked.select(
+        "doc_id",
+        *[c.alias(n) for n, c in shown.items()],
+        F.lit(made.root.hex() if made.root else None).cast("string").alias("root"),
+        F.lower(F.hex("folded")).alias("folded_root"),
+        "verified",
+    )
+
+
+@query
+def op13_prefix_trie(spark, sf):
+    return prefixes.report(table(spark, sf, "conversations"))
