@@ -10,11 +10,28 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from checks.compare import ordered, sql_rows
-from feedwright.llm import common, decontam, exact, langid, licenses, linkgraph, minmax, packing, pii, quality, substring
+from feedwright.llm import (
+    bytebpe,
+    common,
+    decontam,
+    exact,
+    langid,
+    licenses,
+    linkgraph,
+    merkle,
+    minmax,
+    packing,
+    pii,
+    prefixes,
+    quality,
+    ranks,
+    substring,
+)
 from feedwright.llm.oracle import ORACLE
 from feedwright.llm.queries import REGISTERED, tokenizer_path
 
@@ -519,3 +536,161 @@ def test_pipeline_against_plain_stages(spark):
     for r in corpus_pipeline.run(spark, SF_DIR).collect():
         found[r["doc_id"]] += r["length"]
     assert found == lengths
+
+
+# --- byte-level BPE ------------------------------------------------------
+
+
+def rank_file():
+    import public_tokenizers
+
+    return tokenizer_path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+def test_bytes_round_trip_and_ids_of_the_library(spark):
+    model = bytebpe.ByteBpe(*rank_file())
+    texts = ["", "Hello <|endoftext|> world", "we're  café\n\n漢字 123", "x" * 300, " 　\t", "\x1c\x85", "\U0001f600" * 9, None]
+    rows = bytebpe.decoded(bytebpe.encoded(frame(spark, texts), *rank_file()), *rank_file()).collect()
+    for r in rows:
+        own = model.split.encode_ordinary(texts[r["doc_id"]] or "")
+        assert np.frombuffer(r["ids"], "<u4").tolist() == own and r["n_tokens"] == len(own)
+        assert bytes(r["bytes"]) == (texts[r["doc_id"]] or "").encode()
+    both = bytebpe.encoded(frame(spark, texts), *rank_file(), with_bytes=True).collect()
+    assert sorted(map(repr, both)) == sorted(map(repr, rows))
+
+
+def test_cut_texts_have_the_ids_of_whole_ones(monkeypatch):
+    model, r = bytebpe.ByteBpe(*rank_file()), random.Random(11)
+    monkeypatch.setattr(bytebpe, "LONG", 40)
+    monkeypatch.setattr(bytebpe, "DECODE_RUN", 50)
+    bits = [" ", "  ", "\n", "a", "b", "'s", "'re", "'", "1", "漢", "　", "é", "!", "\x1c", "\x85", "\t", "Hello"]
+    for n in range(600):
+        text = "".join(r.choice(bits[:6] if n % 3 else bits) for _ in range(r.randint(0, 250)))
+        text = text.replace("a", "").replace("b", "") if n % 5 == 0 else text
+        assert model.encode(text).tolist() == model.split.encode_ordinary(text)
+        assert model.decode(model.encode(text)) == text.encode()
+
+
+def test_runs_that_the_librarys_pattern_gives_up_on():
+    model = bytebpe.ByteBpe(*rank_file())
+    for run in (" ", "\n", "a", "1!"):
+        text = run * 700_000 + "x"
+        assert model.decode(model.encode(text)) == text.encode()
+
+
+# --- Merkle manifest -----------------------------------------------------
+
+
+def test_addresses_fill_the_layout():
+    for levels in range(1, 9):
+        found = [merkle.address(levels, d, np.arange(1 << d)) for d in range(levels)]
+        assert sorted(np.concatenate(found).tolist()) == list(range((1 << levels) - 1))
+    # Seven nodes above four leaves: the top half of the levels, then the two subtrees below it.
+    assert [merkle.address(4, d, np.arange(1 << d)).tolist() for d in range(4)] == [[0], [1, 2], [3, 6, 9, 12], [4, 5, 7, 8, 10, 11, 13, 14]]
+
+
+def plain_tree(nodes):
+    steps = [[] for _ in nodes]
+    place = list(range(len(nodes)))
+    while len(nodes) > 1:
+        for s, p in zip(steps, place):
+            s.append((nodes[p ^ 1], (p ^ 1) < p) if (p ^ 1) < len(nodes) else None)
+        nodes = [merkle.hash_nodes(nodes[i : i + 2]) for i in range(0, len(nodes), 2)]
+        place = [p // 2 for p in place]
+    return nodes[0], steps
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 7, 8, 9, 23])
+def test_blocks_of_any_width(n):
+    leaves = [hashlib.sha256(bytes([i])).digest() for i in range(n)]
+    height = max(0, (n - 1).bit_length())
+    block = merkle.laid_out(np.frombuffer(b"".join(leaves), np.uint8).reshape(-1, 32), height)
+    root, steps = plain_tree(leaves)
+    assert block[0].tobytes() == root
+    for leaf, path, plain in zip(leaves, merkle.sibling_steps(block, n, height), steps):
+        assert merkle.fold(leaf, path.tobytes()) == root
+        assert merkle.siblings(path.tobytes()) == [s[0] for s in plain if s]
+
+
+@pytest.mark.parametrize("height", [1, 2, 9])
+def test_manifest_recurses_over_block_roots(spark, height):
+    r = random.Random(height)
+    rows = [(i if i % 9 else i % 2 or None, r.choice(["a", "b", None, "é"]), f"t{i % 7}", "s", i) for i in range(75)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, lang string, text string, source string, n_chars bigint")
+    made = merkle.document_manifest(docs, height=height)
+    leaves = defaultdict(list)
+    for doc, lang, text, source, n in rows:
+        fields = [None if f is None else str(f).encode() for f in (doc, source, lang, n, text)]
+        leaf = hashlib.sha256(b"".join(b"-" if f is None else b"%d:%b" % (len(f), f) for f in fields)).digest()
+        leaves[lang].append((doc is not None, doc or 0, leaf))
+    trees = [plain_tree([x[2] for x in sorted(leaves[k])]) for k in sorted(leaves, key=lambda k: (k is not None, (k or "").encode()))]
+    root, crown = plain_tree([t[0] for t in trees])
+    assert made.root == root
+    want = sorted(merkle.hash_nodes([s[0] for s in own + crown[i] if s]).hex() for i, t in enumerate(trees) for own in t[1])
+    found = merkle.verified(made).collect()
+    assert sorted(f["proof_sha256"].hex() for f in found) == want and all(f["verified"] for f in found)
+    wrong = merkle.verified(merkle.document_manifest(docs, merkle.document_leaf({"n_chars": F.col("n_chars") + 1}), height)).collect()
+    assert len(wrong) == len(rows) and not any(f["verified"] for f in wrong)
+
+
+# --- prefix trie ---------------------------------------------------------
+
+
+def plain_trie(rows, rebuilt=True):
+    turns = defaultdict(list)
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            role, text = role or "", text or ""
+            sha = hashlib.sha256(f"{len(role.encode())}:{role}{text}".encode()).digest()
+            turns[conv].append((turn is not None, turn or 0, sha, role, text))
+    own = {c: [t[3:] for t in sorted(v)] for c, v in turns.items()}
+    nodes, ends, kids = defaultdict(list), defaultdict(list), defaultdict(set)
+    for c, v in own.items():
+        h = zlib.crc32(str(c).encode()) % 4 if rebuilt else 0
+        v = own.get(c - c % 20, [])[:h] + v[h:]
+        for d in range(len(v) + 1):
+            nodes[tuple(v[:d])].append(c)
+        ends[tuple(v)].append(c)
+    for k in nodes:
+        if k:
+            kids[k[:-1]].add(k)
+    totals, out = {}, set()
+    for k in sorted(nodes, key=len, reverse=True):
+        words = len(re.findall(r"[^\x20\x09-\x0D]+", k[-1][1])) if k else 0
+        below = [totals[x] for x in kids[k]]
+        totals[k] = (sum(t[0] for t in below) or 1, (len(nodes[k]) - 1) * words + sum(t[1] for t in below))
+        sha = hashlib.sha256(",".join(map(str, sorted(ends[k]))).encode()).hexdigest()
+        up = min(nodes[k[:-1]]) if k else None
+        out.add((min(nodes[k]), len(k), up, len(nodes[k]), len(kids[k]), *totals[k], sha))
+    return out
+
+
+@pytest.mark.parametrize("span", [2, 64])
+def test_trie_equals_plain_tree(spark, monkeypatch, span):
+    monkeypatch.setattr(prefixes, "SPAN", span)
+    monkeypatch.setattr(prefixes, "SHARD_NODES", 40)
+    monkeypatch.setattr(prefixes, "CHUNK", 2)
+    monkeypatch.setattr(ranks, "HOT_SHARE", 3)
+    r = random.Random(span)
+    rows = []
+    for c in range(70):
+        for t in range(r.choice([1, 2, 3, 5, 30 if c % 10 == 0 else 4])):
+            rows.append((c, r.choice([t, t, t, None]), r.choice(["u", "a", None]), r.choice(["x y", "", None, "z"]) if r.random() < 0.8 else f"w {t} {c % 5}"))
+    rows += [(None, 1, "u", "lost"), (7, 0, "u", "x y"), (7, 0, "u", "x y"), (-5, 0, "u", "x y"), *[(200, t, "u", "x y") for t in range(90)]]
+    r.shuffle(rows)
+    table = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").withColumn("node", F.lit(1)).withColumn("a", F.lit("x"))
+    negative = [x for x in rows if x[0] is None or x[0] >= 0]
+    found = [tuple(x) for x in prefixes.report(table.where("conv_id is null or conv_id >= 0")).collect()]
+    assert len(found) == len(set(found)) and set(found) == plain_trie(negative)
+    names = "conv_id depth parent_conv_id n_convs n_children n_leaves saved_tokens ends_sha256".split()
+    assert {tuple(x) for x in prefixes.trie(table).select(*names).collect()} == plain_trie(rows, rebuilt=False)
+    assert prefixes.report(table.limit(0)).collect() == []
+
+
+def test_prefixes_of_one_digest_are_told_apart(spark):
+    """Two prefixes under one digest leave different prints, which sends the turns through another seed."""
+    nodes = prefixes.distinct_nodes(
+        spark.createDataFrame([(1, 1, 1, 0, 0, 5, 1, 77), (1, 1, 1, 0, 0, 6, 1, 78)], prefixes.NODE),
+        spark.createDataFrame([(1, 1, 1, 5), (1, 1, 1, 6)], "a bigint, b bigint, depth bigint, conv bigint"),
+    )
+    assert nodes.where("low <> high").count() == 1
