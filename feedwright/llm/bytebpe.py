@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedwright.llm.common import doc_columns, slices, small_batches, texts
+from feedwright.llm.common import doc_columns, lean, slices, small_batches, texts
 
 #: Characters that are encoded in one call; longer texts are cut.
 LONG = 100_000
@@ -99,19 +99,29 @@ def byte_bpe(path: str, pattern: str) -> ByteBpe:
     return ByteBpe(path, pattern)
 
 
-def encoded(docs: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
-    """doc_id, n_tokens and ids of each row; ids are little-endian unsigned 32-bit integers in one binary."""
+def _columns(model: ByteBpe, b: pa.RecordBatch, with_bytes: bool) -> pa.RecordBatch:
+    ids = [model.encode(t) for t in texts(b)]
+    columns = {"doc_id": b.column("doc_id"), "n_tokens": pa.array([len(i) for i in ids], pa.int64())}
+    columns["ids"] = pa.array([i.astype("<u4").tobytes() for i in ids], pa.binary())
+    if with_bytes:
+        columns["bytes"] = pa.array([model.decode(i) for i in ids], pa.binary())
+    return pa.RecordBatch.from_pydict(columns)
+
+
+def encoded(docs: DataFrame, vocabulary: str, pattern: str, with_bytes: bool = False) -> DataFrame:
+    """doc_id, n_tokens and ids of each row; ids are little-endian unsigned 32-bit integers in one binary.
+
+    ``with_bytes`` adds what the ids spell, as ``decoded`` does, in the same worker.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = byte_bpe(vocabulary, pattern)
         for whole in batches:
             for b in slices(whole):
-                ids = [model.encode(t) for t in texts(b)]
-                counts = pa.array([len(i) for i in ids], pa.int64())
-                raw = pa.array([i.astype("<u4").tobytes() for i in ids], pa.binary())
-                yield pa.RecordBatch.from_arrays([b.column("doc_id"), counts, raw], ["doc_id", "n_tokens", "ids"])
+                yield _columns(model, b, with_bytes)
 
-    return doc_columns(docs).mapInArrow(run, "doc_id bigint, n_tokens bigint, ids binary")
+    schema = "doc_id bigint, n_tokens bigint, ids binary" + (", bytes binary" if with_bytes else "")
+    return doc_columns(docs).mapInArrow(lean(run), schema)
 
 
 def decoded(ids: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
@@ -127,7 +137,7 @@ def decoded(ids: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*kept, pa.array(raw, pa.binary())], ["doc_id", "n_tokens", "ids", "bytes"])
 
     rows = ids.select("doc_id", "n_tokens", "ids")
-    return rows.mapInArrow(run, "doc_id bigint, n_tokens bigint, ids binary, bytes binary")
+    return rows.mapInArrow(lean(run), "doc_id bigint, n_tokens bigint, ids binary, bytes binary")
 
 
 def digests(spelled: DataFrame) -> DataFrame:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedwright.llm.common import small_batches, stored
+from feedwright.llm.common import Batches, lean, small_batches, stored
 from feedwright.llm.ranks import ranked
 
 #: A block spans 2^HEIGHT leaves.
@@ -187,8 +187,13 @@ def forest(nodes: DataFrame, purpose: str, height: int = HEIGHT) -> Forest:
         )
 
 
-def expanded(level: DataFrame, paths: DataFrame, span: int) -> DataFrame:
-    """Every node below the blocks of a level: tree, rank, digest, payload, its whole path and its tree's root."""
+def expanded(
+    level: DataFrame, paths: DataFrame, span: int, then: Batches | None = None, result: str | None = None
+) -> DataFrame:
+    """Every node below the blocks of a level: tree, rank, digest, payload, its whole path and its tree's root.
+
+    ``then`` works on these rows in the same worker and gives rows of ``result``.
+    """
     kinds = {f.name: f.dataType for f in level.schema}
     payload = kinds["payload"].elementType.simpleString()
     schema = f"tree {kinds['tree'].simpleString()}, rank bigint, digest binary, payload {payload}, path binary, top binary"
@@ -216,22 +221,25 @@ def expanded(level: DataFrame, paths: DataFrame, span: int) -> DataFrame:
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    return met.mapInArrow(open_blocks, schema)
+    if then:
+        return met.mapInArrow(lean(lambda batches: then(open_blocks(batches))), result)
+    return met.mapInArrow(lean(open_blocks), schema)
 
 
-def proofs(found: Forest, base: DataFrame) -> DataFrame:
+def proofs(found: Forest, base: DataFrame, then: Batches | None = None, result: str | None = None) -> DataFrame:
     """Every leaf of a forest with its path; ``base`` (tree, path, top) goes on from each tree's root.
 
-    Paths are handed down level by level, so a block's own steps are looked up once for all leaves below it.
+    ``then`` is applied to the leaves as in ``expanded``. Paths are handed down level by level, so a block's own steps are looked up once for all leaves below it.
     """
     above = None
     for level in reversed(found.levels):
+        last = level is found.levels[0]
         tops = found.tops(level).select("tree", "block")
         ours = base.select(F.col("tree").alias("of"), "path", "top")
         paths = tops.join(ours, F.col("tree").eqNullSafe(F.col("of"))).select("tree", "block", "path", "top")
         if above is not None:
             paths = paths.unionByName(above.select("tree", F.col("rank").alias("block"), "path", "top"))
-        above = expanded(level, paths, found.span)
+        above = expanded(level, paths, found.span, then if last else None, result)
     return above
 
 
@@ -243,13 +251,13 @@ class Manifest:
     crown: Forest
     root: bytes | None
 
-    def proofs(self) -> DataFrame:
+    def proofs(self, then: Batches | None = None, result: str | None = None) -> DataFrame:
         """Every leaf: tree, rank, digest, payload, path up to the manifest's root, and top, its tree's root."""
         spark = self.crown.levels[0].sparkSession
         small_batches(spark)
         nothing = spark.createDataFrame([(0, b"", self.root)], "tree int, path binary, top binary")
         crown = proofs(self.crown, nothing).select(F.col("payload").alias("tree"), "path", F.col("digest").alias("top"))
-        return proofs(self.trees, stored(crown, "merkle-tops"))
+        return proofs(self.trees, stored(crown, "merkle-tops"), then, result)
 
 
 def manifest(leaves: DataFrame, order: list[Column], height: int = HEIGHT) -> Manifest:
@@ -283,8 +291,9 @@ def document_manifest(docs: DataFrame, claim: Column | None = None, height: int
     return manifest(leaves, [F.col("id").asc_nulls_first()], height)
 
 
-def verified(proved: DataFrame, root: bytes | None) -> DataFrame:
-    """doc_id and leaf of each proved row, the hash of its siblings, and whether its claim folds to the root."""
+def verified(made: Manifest) -> DataFrame:
+    """doc_id and leaf of each row of a document manifest, the hash of its siblings, and whether its claim folds to the root."""
+    root = made.root
     schema = "doc_id bigint, leaf binary, subroot binary, proof_sha256 binary, folded binary, verified boolean"
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -298,4 +307,4 @@ def verified(proved: DataFrame, root: bytes | None) -> DataFrame:
             columns += [pa.array(held, pa.binary()), pa.array(folded, pa.binary()), pa.array(good, pa.bool_())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "leaf", "subroot", "proof_sha256", "folded", "verified"])
 
-    return proved.select("payload", "digest", "top", "path").mapInArrow(check, schema)
+    return made.proofs(check, schema)

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedwright.llm.common import mixed, small_batches, stored
+from feedwright.llm.common import lean, mixed, small_batches, stored
 from feedwright.llm.exact import perfect_hash, slots_of
 from feedwright.llm.ranks import join_unique, sorted_parts
 
@@ -88,7 +88,6 @@ def powers(factor: int, exponents: np.ndarray) -> np.ndarray:
 
 def rolled(turns: DataFrame, seed: int) -> DataFrame:
     """Turns sorted over all tasks, each with the polynomial of its conversation's turns in the task so far."""
-    rows = sorted_parts(turns, "conv", [F.col("turn").asc_nulls_first(), F.col("digest").asc()]).drop("turn")
 
     def roll(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         carried = [np.uint64(0), np.uint64(0)]
@@ -104,10 +103,11 @@ def rolled(turns: DataFrame, seed: int) -> DataFrame:
                 run = np.where(begun >= 0, run - ahead, run + carried[i])
                 carried[i] = run[-1]
                 sums.append(pa.array(run.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([*b.columns, *sums], [*b.schema.names, "qa", "qb"])
+            names = ["conv", "digest", "words", "part", "at"]
+            yield pa.RecordBatch.from_arrays([*(b.column(n) for n in names), *sums], [*names, "qa", "qb"])
 
     kinds = "conv bigint, digest binary, words bigint, part int, at bigint, qa bigint, qb bigint"
-    return rows.mapInArrow(roll, kinds)
+    return sorted_parts(turns, "conv", [F.col("turn").asc_nulls_first(), F.col("digest").asc()], roll, kinds)
 
 
 def _signed(x: int) -> int:
@@ -194,7 +194,7 @@ def plan(rows: DataFrame, family: Column, share: Column, seed: int) -> DataFrame
                 schema = schema or plan_schema()
                 yield pa.RecordBatch.from_pylist(made, schema)
 
-    return families.mapInArrow(spell, _PLAN)
+    return families.mapInArrow(lean(spell), _PLAN)
 
 
 def plan_schema() -> pa.Schema:
@@ -228,7 +228,7 @@ def prefixes(rows: DataFrame, constants: DataFrame, seed: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, [*KEY, "pa", "pb", "conv", "words", "digest"])
 
     names = [*KEY, "pa", "pb", "conv", "words", "digest"]
-    own = met.mapInArrow(spell, NODE.replace("print bigint", "digest binary"))
+    own = met.mapInArrow(lean(spell), NODE.replace("print bigint", "digest binary"))
     given = constants.select("conv", F.explode("shared").alias("s")).select("s.*", "conv").select(*names)
     both = own.unionByName(given)
     return both.withColumn("print", F.xxhash64("digest", "pa", "pb")).drop("digest")
@@ -258,8 +258,7 @@ def ends_digests(ends: DataFrame) -> DataFrame:
 
     Numbers are sorted over all tasks and joined in chunks; then one task hashes a node's chunks as they pass by.
     """
-    keyed = ends.withColumn("node", F.concat_ws(":", *KEY))
-    rows = sorted_parts(keyed, "node", [F.col("conv").asc()])
+    keyed = ends.select(F.concat_ws(":", *KEY).alias("node"), "conv")
 
     def join_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["node", "first", "numbers"]
@@ -272,7 +271,8 @@ def ends_digests(ends: DataFrame) -> DataFrame:
             if made:
                 yield pa.RecordBatch.from_arrays([pa.array(list(c)) for c in zip(*made)], names)
 
-    chunks = rows.mapInArrow(join_chunks, "node string, first bigint, numbers string")
+    schema = "node string, first bigint, numbers string"
+    chunks = sorted_parts(keyed, "node", [F.col("conv").asc()], join_chunks, schema)
 
     def hash_on(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["node", "ends_sha256"]
@@ -292,7 +292,7 @@ def ends_digests(ends: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([node]), pa.array([state.hexdigest()])], names)
 
     in_order = chunks.repartition("node").sortWithinPartitions("node", "first")
-    found = in_order.mapInArrow(hash_on, "node string, ends_sha256 string")
+    found = in_order.mapInArrow(lean(hash_on), "node string, ends_sha256 string")
     parts = F.split("node", ":")
     return found.select(*[parts[i].cast("bigint").alias(n) for i, n in enumerate(KEY)], "ends_sha256")
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from feedwright.llm.common import small_batches, stored
+from feedwright.llm.common import Batches, lean, small_batches, stored
 
 
 def group_starts(keys: pa.Array, before: object, first: bool) -> np.ndarray:
@@ -21,9 +21,13 @@ def group_starts(keys: pa.Array, before: object, first: bool) -> np.ndarray:
     return starts
 
 
-def sorted_parts(df: DataFrame, group: str, order: list[Column]) -> DataFrame:
+def sorted_parts(
+    df: DataFrame, group: str, order: list[Column], then: Batches | None = None, schema: str | None = None
+) -> DataFrame:
     """``df`` sorted by range over all tasks, with ``part`` (the task) and ``at`` (the place in group and part).
 
+    ``then`` works on the sorted batches in the same worker and gives rows of ``schema``.
+
     Ranges are cut by ``group``, ``order`` and a number of the row's own, so a
     group of any size, even one of equal rows, is dealt to many tasks; no task
     holds more than a batch of it.
@@ -48,8 +52,10 @@ def sorted_parts(df: DataFrame, group: str, order: list[Column]) -> DataFrame:
             extra = [pa.array(np.full(b.num_rows, part, np.int32)), pa.array(at.astype(np.int64))]
             yield pa.RecordBatch.from_arrays([*b.columns, *extra], [*b.schema.names, "part", "at"])
 
+    if then:
+        return dealt.mapInArrow(lean(lambda batches: then(number(batches))), schema)
     extra = [StructField("part", IntegerType()), StructField("at", LongType())]
-    return dealt.mapInArrow(number, StructType([*dealt.schema.fields, *extra]))
+    return dealt.mapInArrow(lean(number), StructType([*dealt.schema.fields, *extra]))
 
 
 def ranked(df: DataFrame, group: str, order: list[Column], purpose: str) -> DataFrame:
