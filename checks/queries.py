@@ -742,7 +742,8 @@ def fact_run(spark, sf):
     found, lookups = judged_lines(spark, sf)
     clean = clean_rows(found.frame, spec, lookups)
     bounds = found.metrics["first_day"], found.metrics["last_day"]
-    return merge.replace_range(past_lines(spark, sf), clean, spec.day(), bounds=bounds)
+    # A line stands once under its order and number, as rows of a snapshot do, so history needs no distinct.
+    return merge.replace_range(past_lines(spark, sf), clean, spec.day(), bounds=bounds, distinct=False)
 
 
 @query

@@ -68,7 +68,11 @@ def missing_weeks(
 
 def unreadable_dates(df: DataFrame, date_col: str, formats: Sequence[str] = CONFORMED_FORMATS) -> DataFrame:
     """How many rows hold no readable date."""
-    return df.agg(F.count_if(_day(date_col, formats).isNull()).alias("unreadable"))
+    return df.agg(unreadable_count(date_col, formats).alias("unreadable"))
+
+
+def unreadable_count(date_col: str, formats: Sequence[str] = CONFORMED_FORMATS) -> Column:
+    return F.count_if(_day(date_col, formats).isNull())
 
 
 def first_and_last_day(

@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 from feedwright.functions.dates import RunClock
 from feedwright.functions.text import dataset_name, quoted
 from feedwright.limits import DEFAULT_LIMITS, Limits
-from feedwright.operators.coverage import missing_weeks, unreadable_dates
+from feedwright.operators.coverage import missing_weeks, unreadable_count
 from feedwright.operators.lookups import Lookup, all_hold, failed_rows, flag_lookups, with_spelling
-from feedwright.operators.merge import new_rows, per_file, upsert
+from feedwright.operators.merge import per_file, upsert
 from feedwright.operators.records import (
     BAD_KEY,
     DUPLICATE,
@@ -25,7 +25,7 @@ from feedwright.operators.records import (
     error_records,
     run_manifest,
 )
-from feedwright.operators.schema import cols
+from feedwright.operators.schema import cols, text_schema
 from feedwright.operators.setops import union_all
 from feedwright.operators.sizing import Settled, settle
 from feedwright.operators.unique import flag_repeated
@@ -123,8 +123,11 @@ def settle_judged(judged: DataFrame, spec: FeedSpec) -> Settled:
 
 
 def snapshot_of(spark: SparkSession, spec: FeedSpec, zones: Zones) -> Snapshot:
+    """Facts lie by date, masters by buckets of their keys, appended feeds by buckets of their rows."""
     day = spec.day() if spec.is_fact else None
-    return Snapshot(spark, zones.snapshot(spec.name), spec.columns, day)
+    # A master whose whole history is conformed again in each run is rewritten as a whole anyway.
+    keys = spec.unique if spec.merge == "upsert" and not spec.conform_history else ()
+    return Snapshot(spark, zones.snapshot(spec.name), spec.columns, day, keys, hashed=spec.merge == "append")
 
 
 def read_masters(spark: SparkSession, spec: FeedSpec, specs: Mapping[str, FeedSpec], zones: Zones) -> dict:
@@ -134,18 +137,20 @@ def read_masters(spark: SparkSession, spec: FeedSpec, specs: Mapping[str, FeedSp
 def merge_clean(
     clean: DataFrame, spec: FeedSpec, snapshot: Snapshot, found: Settled, limits: Limits = DEFAULT_LIMITS
 ) -> None:
+    processed = found.metrics["processed"]
     if spec.merge == "append":
-        snapshot.append(new_rows(snapshot.read(), clean, limits))
+        snapshot.append_new(clean, processed, limits)
+    elif spec.merge == "upsert" and snapshot.keys:
+        snapshot.upsert(clean, processed, limits)
     elif spec.merge == "upsert":
-        history = snapshot.read()
-        if spec.conform_history:
-            history = apply_steps(history, spec.after).distinct()
+        history = apply_steps(snapshot.read(), spec.after).distinct() if spec.conform_history else snapshot.read()
         # History was written by this very step and the clean keys are unique.
         snapshot.replace(upsert(history, clean, spec.unique, distinct=False, limits=limits))
     elif spec.merge == "range":
         snapshot.replace_dates(clean, found.metrics["first_day"], found.metrics["last_day"])
     else:
         raise ValueError(f"{spec.name} is not merged into a snapshot")
+    snapshot.tidy()
 
 
 def _record_failure(spark: SparkSession, spec: FeedSpec, zones: Zones, clock: RunClock, run_id: str) -> None:
@@ -249,6 +254,14 @@ def enrich(
     return enrich_frame(staged, spec, specs, zones, run_id, clock, limits)
 
 
+def committed_dates(snapshot: Snapshot, date_col: str) -> tuple[DataFrame, int, int]:
+    """The dates of a dated snapshot, its rows, and its rows without a readable date, all from the commit log."""
+    found = snapshot.partition_rows()
+    days = [(dt.date.fromisoformat(p).strftime("%m/%d/%Y"),) for p, n in found.items() if p is not None and n]
+    frame = snapshot.spark.createDataFrame(days, text_schema([date_col]))
+    return frame, sum(found.values()), found.get(None, 0)
+
+
 def report_coverage(
     spark: SparkSession,
     report: str,
@@ -257,24 +270,26 @@ def report_coverage(
     zones: Zones,
     clock: RunClock | None = None,
 ) -> DataFrame:
-    """Write the missing-week report of a snapshot and return it."""
+    """Write the missing-week report of a snapshot and return it.
+
+    A report on the date that its table is partitioned by reads no data file.
+    """
     clock = clock or RunClock()
     dataset, date_col = reports[report]
     spec = specs[dataset]
-    dated = snapshot_of(spark, spec, zones).read().select(quoted(date_col))
+    snapshot = snapshot_of(spark, spec, zones)
+    if spec.is_fact and date_col == spec.range_date:
+        dated, rows, unreadable = committed_dates(snapshot, date_col)
+    else:
+        dated = snapshot.read().select(quoted(date_col))
+        counted = dated.agg(F.count(F.lit(1)).alias("rows"), unreadable_count(date_col).alias("unreadable")).first()
+        rows, unreadable = counted["rows"], counted["unreadable"]
     path = f"{zones.coverage(report)}/run_date={clock.day}"
     weeks = missing_weeks(dated, date_col, clock.date, spec.output_name)
     weeks.write.mode("overwrite").parquet(path)
     written = spark.read.schema(weeks.schema).parquet(path)
-    counted = unreadable_dates(dated, date_col).first()
     manifest = run_manifest(
-        spark,
-        spec.output_name,
-        PROCESSED,
-        dated.count(),
-        written.count(),
-        clock.timestamp,
-        RunClock().timestamp,
-    ).withColumn("No_Of_records_rejected", F.lit(counted["unreadable"]).cast("bigint"))
+        spark, spec.output_name, PROCESSED, rows, written.count(), clock.timestamp, RunClock().timestamp
+    ).withColumn("No_Of_records_rejected", F.lit(unreadable).cast("bigint"))
     write_manifest(manifest, zones.run_manifests, clock.day, report, clock.day)
     return written

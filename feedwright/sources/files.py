@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import fnmatch
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -46,3 +47,29 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
 def delete_folder(spark: SparkSession, path: str) -> bool:
     """Remove a folder this library wrote. Input files are never deleted."""
     return _system(spark, path).delete(_path(spark, path), True)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """The whole of a small UTF-8 file."""
+    stream = _system(spark, path).open(_path(spark, path))
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small UTF-8 file that is seen as a whole or not at all; a file of that name is never replaced."""
+    system, target = _system(spark, path), _path(spark, path)
+    if system.exists(target):
+        raise FileExistsError(path)
+    folder, name = path.rsplit("/", 1)
+    hidden = _path(spark, f"{folder}/.{name}.{uuid.uuid4().hex}")
+    stream = system.create(hidden, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    if not system.rename(hidden, target):
+        system.delete(hidden, False)
+        raise FileExistsError(path)

@@ -40,7 +40,9 @@ def follow_staged(
     arrivals = spark.readStream.schema(schema).parquet(zones.staged(dataset) + "/run_id=*/file=*")
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        enrich_frame(rebind(batch, spec.columns), spec, specs, zones, f"arrivals-{batch_id}", limits=limits)
+        # The query's id lasts as long as its checkpoint; batch numbers start anew without it.
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        enrich_frame(rebind(batch, spec.columns), spec, specs, zones, f"arrivals-{query}-{batch_id}", limits=limits)
 
     writer = arrivals.writeStream.foreachBatch(merge).option(
         "checkpointLocation", f"{zones.snapshot(dataset)}-arrivals"
