@@ -385,6 +385,46 @@ ORACLE: dict[str, str] = {
         SELECT sent.* EXCLUDE (d) FROM sent, bounds WHERE d < lo OR d > hi
         UNION SELECT * EXCLUDE (d) FROM clean""",
     "increment_sink": LATE,
+    "padded_collisions": """
+        WITH own AS (SELECT lpad(k, greatest(4, length(k))::INTEGER, '0') AS original, count(*) AS n
+                     FROM (SELECT CAST(l_orderkey AS VARCHAR) AS k FROM lineitem) GROUP BY 1)
+        SELECT lpad(original, 4, '0') AS code, count(*) AS originals, CAST(sum(n) AS BIGINT) AS rows,
+               min(original) AS first_original, max(original) AS last_original
+        FROM own GROUP BY 1 HAVING count(*) > 1""",
+    "quoted_line_breaks": """
+        SELECT CAST(doc_id AS VARCHAR) AS doc_id, nullif(lang, '') AS lang, nullif(replace(text, '"', ''), '') AS text
+        FROM documents""",
+    "restaged_run": "SELECT CAST(o_orderkey AS VARCHAR) AS key FROM orders",
+    "file_ledger": """
+        SELECT 'r1' AS run_id, 'Processed' AS "Status", 'NA' AS "Error_description", count(*) AS total_rows FROM orders
+        UNION ALL SELECT 'r1', 'Rejected', 'Schema validation failed', count(*) FROM customer
+        UNION ALL SELECT 'r2', 'Rejected', 'Schema validation failed', count(*) FROM customer
+        UNION ALL SELECT 'r2', 'Rejected', 'File Renameing Failed / File already present in Stage', count(*) FROM orders""",
+    "empty_delivery": f"""
+        WITH {CUSTOMER_CHECKED}
+        SELECT count(*) AS kept, 'Processed' AS "Status", CAST(0 AS BIGINT) AS "No_Of_records_received",
+               CAST(0 AS BIGINT) AS "No_Of_records_processed" FROM conformed WHERE n = 1 AND run = 1""",
+    "upsert_in_buckets": """
+        SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
+               CAST(CASE WHEN c_nationkey = 3 THEN c_acctbal + 1 ELSE c_acctbal END AS VARCHAR) AS c_acctbal, c_mktsegment
+        FROM customer""",
+    "append_by_fingerprint": f"SELECT DISTINCT * FROM ({orders_as(DASHED)})",
+    "compacted_appends": f"""
+        SELECT o_orderdate, count(*) AS rows, CAST(1 AS BIGINT) AS files
+        FROM ({orders_as(SLASHED, day=MONTH_ENDING.format("o_orderdate"))}) GROUP BY o_orderdate""",
+    "load_order_run": """
+        SELECT 'region' AS "Data_Set_Name", 0 AS "Level", 'Processed' AS "Status", n AS "Received", ok AS "Processed"
+        FROM (SELECT count(*) AS n, count(*) FILTER (r_regionkey <> 0) AS ok FROM region)
+        UNION ALL SELECT 'nation', 1, 'Processed', n, ok FROM (
+            SELECT count(*) AS n, count(*) FILTER (n_nationkey <> 0 AND n_regionkey <> 0) AS ok FROM nation)
+        UNION ALL SELECT 'supplier', 2, 'Processed', n, ok FROM (
+            SELECT count(*) AS n, count(*) FILTER (s_suppkey <> 0 AND s_nationkey IN (
+                SELECT n_nationkey FROM nation WHERE n_nationkey <> 0 AND n_regionkey <> 0)) AS ok FROM supplier)
+        UNION ALL SELECT 'customer', 2, 'Processed', n, ok FROM (
+            SELECT count(*) AS n, count(*) FILTER (c_custkey <> 0 AND c_nationkey IN (
+                SELECT n_nationkey FROM nation WHERE n_nationkey <> 0 AND n_regionkey <> 0)) AS ok FROM customer)
+        UNION ALL SELECT 'part', 0, 'Exception Occured while Processing', NULL, NULL
+        UNION ALL SELECT 'orders', 1, 'Held back', NULL, NULL""",
     "per_file_sink": "SELECT DISTINCT event_type AS file, user_id, props FROM events",
 }
 

@@ -41,6 +41,7 @@ from feedwright.plans.enriching import (
     settle_judged,
     snapshot_of,
 )
+from feedwright.plans.loading import load
 from feedwright.plans.spec import FeedSpec, LookupSpec, dates, pad, without
 from feedwright.plans.staging import header_verdicts, narrow_lines, read_staged, stage
 from feedwright.plans.zones import Zones
@@ -158,7 +159,14 @@ def key_counts(spark, sf):
 
 @query
 def single_key_counts(spark, sf):
-    return key_counts(spark, sf).where("n = 1").select(*LINE_KEYS)
+    return unique.single_keys(table(spark, sf, "lineitem"), LINE_KEYS).toDF(*LINE_KEYS)
+
+
+@query
+def padded_collisions(spark, sf):
+    """Order numbers that are one code once they are cut to four digits."""
+    keys = as_text(table(spark, sf, "lineitem").select("l_orderkey"))
+    return unique.padded_collisions(keys, "l_orderkey", 4)
 
 
 # --- lookups -------------------------------------------------------------
@@ -541,6 +549,75 @@ def raw_to_stage_manifest(spark, sf):
     )
 
 
+def document_spec():
+    return FeedSpec("texts", "/Raw/texts/*.csv", 3, "append", ("doc_id", "lang", "text"), keys=("doc_id",))
+
+
+@query
+def quoted_line_breaks(spark, sf):
+    """Texts with line breaks and quotes inside quoted fields, through staging."""
+    zones = Zones(scratch_path(spark, "zones"))
+    texts = as_text(table(spark, sf, "documents").select(*document_spec().columns))
+    texts.write.csv(
+        zones.raw("/Raw/texts"),
+        header=True,
+        quoteAll=True,
+        escape='"',
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
+    )
+    stage(spark, document_spec(), zones, "r1", CLOCK)
+    return read_staged(spark, document_spec(), zones, "r1")
+
+
+def restaged(spark, sf):
+    """Orders and customers as two files of one feed; then the customers' file gets another header and the run is repeated."""
+    zones = Zones(scratch_path(spark, "zones"))
+    spec = FeedSpec("keys", "/Raw/keys/*/part-*.csv", 1, "append", ("key",), keys=("key",))
+    write_csv(as_text(table(spark, sf, "orders").select(F.col("o_orderkey").alias("key"))).coalesce(1), zones.raw("/Raw/keys/orders"))
+    other = as_text(table(spark, sf, "customer").select(F.col("c_custkey").alias("key"))).coalesce(1)
+    write_csv(other, zones.raw("/Raw/keys/customers"))
+    stage(spark, spec, zones, "r1", CLOCK)
+    write_csv(other.withColumnRenamed("key", "other"), zones.raw("/Raw/keys/customers"), mode="overwrite")
+    stage(spark, spec, zones, "r1", CLOCK)
+    return spec, zones
+
+
+@query
+def restaged_run(spark, sf):
+    spec, zones = restaged(spark, sf)
+    return read_staged(spark, spec, zones, "r1")
+
+
+@query
+def file_ledger(spark, sf):
+    """Which files count as staged after a run was repeated and another one found the same files."""
+    spec, zones = restaged(spark, sf)
+    stage(spark, spec, zones, "r2", CLOCK)
+    manifests = spark.read.parquet(zones.file_manifests)
+    return manifests.groupBy("run_id", "Status", "Error_description").agg(
+        F.sum("Total_row_Count").cast("bigint").alias("total_rows")
+    )
+
+
+@query
+def empty_delivery(spark, sf):
+    """The snapshot after a good run and one whose only file was refused."""
+    zones, spec = Zones(scratch_path(spark, "zones")), customer_spec()
+    good = customer(spark, sf)
+    enrich_frame(good, spec, {spec.name: spec}, zones, "r1", CLOCK)
+    write_csv(good.drop("c_name"), zones.raw("/Raw/customers"))
+    stage(spark, spec, zones, "r2", CLOCK)
+    enrich(spark, spec.name, {spec.name: spec}, zones, "r2", CLOCK)
+    runs = spark.read.parquet(zones.run_manifests).where("run_id = 'r2'")
+    # One manifest row per run.
+    found = runs.select("Status", "No_Of_records_received", "No_Of_records_processed").first().asDict()
+    kept = snapshot_of(spark, spec, zones).read().agg(F.count(F.lit(1)).alias("kept"))
+    return kept.select("kept", *[F.lit(v).alias(n) for n, v in found.items()]).withColumns(
+        {n: F.col(n).cast("bigint") for n in found if n != "Status"}
+    )
+
+
 @query
 def header_check(spark, sf):
     zones = raw_events(spark, sf)
@@ -807,6 +884,41 @@ def snapshot_restatement(spark, sf):
     return snapshot.read()
 
 
+@query
+def upsert_in_buckets(spark, sf):
+    """Customers dealt to buckets by key; the balances of one nation are raised in place."""
+    names = customer(spark, sf).columns
+    snapshot = Snapshot(spark, scratch_path(spark, "snapshot"), names, keys=["c_custkey"], bucket_rows=50)
+    first = customer(spark, sf)
+    snapshot.upsert(first, first.count())
+    raised = as_text(_raised_balances(spark, sf))
+    snapshot.upsert(raised, raised.count())
+    return snapshot.read()
+
+
+@query
+def append_by_fingerprint(spark, sf):
+    """Urgent orders, then all orders: appending adds what is not there yet."""
+    everything = orders(spark, sf)
+    snapshot = Snapshot(spark, scratch_path(spark, "snapshot"), everything.columns, hashed=True, bucket_rows=500)
+    urgent = everything.where("o_orderpriority = '1-URGENT'")
+    snapshot.append_new(urgent, urgent.count())
+    snapshot.append_new(everything.unionByName(urgent), 2 * everything.count())
+    return snapshot.read()
+
+
+@query
+def compacted_appends(spark, sf):
+    """Orders appended by priority, then compacted: rows and files of each month."""
+    everything = monthly_orders(spark, sf, "MM/dd/yyyy")
+    snapshot = Snapshot(spark, scratch_path(spark, "snapshot"), everything.columns, merge.feed_day("o_orderdate"))
+    for priority in ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"):
+        snapshot.append(everything.where(F.col("o_orderpriority") == priority))
+    snapshot.compact()
+    files = snapshot.read().groupBy("o_orderdate", F.input_file_name().alias("file")).agg(F.count(F.lit(1)).alias("rows"))
+    return files.groupBy("o_orderdate").agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("files"))
+
+
 @query
 def increment_sink(spark, sf):
     path = write_increment(_late_orders(spark, sf), scratch_path(spark, "increments"), "r1")
@@ -821,6 +933,37 @@ def per_file_sink(spark, sf):
     return written.select(F.col("file").cast("string").alias("file"), "user_id", "props")
 
 
+# --- loads of several feeds -------------------------------------------------
+
+
+def keyed_feed(name, columns, key, *lookups, **more):
+    return FeedSpec(name, f"/Raw/{name}/*", len(columns), "upsert", tuple(columns), keys=(key,), unique=(key,), lookups=lookups, **more)
+
+
+def load_feeds(spark, sf):
+    """Six feeds in three levels; the parts name a key they do not have, so parts fail and lines wait."""
+    tables = {n: as_text(table(spark, sf, n)) for n in ("region", "nation", "supplier", "part", "customer", "orders")}
+    columns = {n: df.columns for n, df in tables.items()}
+    specs = [
+        keyed_feed("region", columns["region"], "r_regionkey"),
+        keyed_feed("nation", columns["nation"], "n_nationkey", LookupSpec("n_regionkey", "region", "r_regionkey")),
+        keyed_feed("supplier", columns["supplier"], "s_suppkey", LookupSpec("s_nationkey", "nation", "n_nationkey")),
+        keyed_feed("customer", columns["customer"], "c_custkey", LookupSpec("c_nationkey", "nation", "n_nationkey")),
+        keyed_feed("part", columns["part"], "p_missing"),
+        keyed_feed("orders", columns["orders"], "o_orderkey", LookupSpec("o_custkey", "part", "p_partkey")),
+    ]
+    return tables, {s.name: s for s in specs}
+
+
+@query
+def load_order_run(spark, sf):
+    tables, specs = load_feeds(spark, sf)
+    zones = Zones(scratch_path(spark, "zones"))
+    step = lambda name: enrich_frame(tables[name], specs[name], specs, zones, "r1", CLOCK)
+    report = load(spark, specs, zones, "r1", CLOCK, step)
+    return report.select("Data_Set_Name", "Level", "Status", "Received", "Processed")
+
+
 # --- feeds of the catalog --------------------------------------------------
 
 

@@ -33,6 +33,12 @@ def pad_code(c: Column | str, width: int) -> Column:
     return F.lpad(as_column(c), width, "0")
 
 
+def pad_whole(c: Column | str, width: int) -> Column:
+    """Left-padded with zeros to ``width``; longer codes stay as they are."""
+    c = as_column(c)
+    return F.lpad(c, F.greatest(F.length(c), F.lit(width)), F.lit("0"))
+
+
 def upper_key(c: Column | str) -> Column:
     return F.upper(as_column(c))
 

@@ -26,6 +26,7 @@ RAGGED = "{} lines with too few or too many fields"
 BAD_SCHEMA = "Schema validation failed"
 NO_FILE = "File Not Found"
 NOT_PLACED = "File Renameing Failed / File already present in Stage"
+CHANGED = "File already present in Stage, changed since"
 
 ERROR_COLUMNS = ["Data_Set_Name", "Error_Description", "Error_Record", "Insert_Time"]
 

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedwright.functions.text import quoted
+from feedwright.functions.text import pad_code, pad_whole, quoted
 from feedwright.limits import DEFAULT_LIMITS, Limits
 from feedwright.operators.joining import attach, key_columns, key_names
 from feedwright.operators.sizing import settle
@@ -28,6 +28,11 @@ def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*key_columns(keys)).agg(F.count(F.lit(1)).alias("_n"))
 
 
+def single_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys that occur exactly once; the key columns are named by ``key_names``."""
+    return key_counts(df, keys).where("_n = 1").drop("_n")
+
+
 def repeated_keys(
     df: DataFrame, keys: Sequence[str], rows: Column | None = None, limits: Limits = DEFAULT_LIMITS
 ) -> RepeatedKeys:
@@ -80,3 +85,22 @@ def split_unique(
     once = flagged.where(~F.col("_repeated")).drop("_repeated")
     dups = flagged.where("_repeated").drop("_repeated")
     return once, dups.distinct() if distinct_dups else dups
+
+
+def padded_collisions(df: DataFrame, name: str, width: int) -> DataFrame:
+    """Codes that padding to ``width`` makes equal although they differ: it cuts those that are longer.
+
+    One row per padded code with its number of different originals, its rows,
+    and the first and last original. Codes that differ by leading zeros only are
+    one code. Originals are made distinct before the shuffle by the code, so a
+    code of any number of rows weighs as much as its originals.
+    """
+    own = F.col(quoted(name))
+    originals = df.where(own.isNotNull()).groupBy(pad_whole(own, width).alias("original")).agg(F.count(F.lit(1)).alias("n"))
+    codes = originals.groupBy(pad_code("original", width).alias("code")).agg(
+        F.count(F.lit(1)).alias("originals"),
+        F.sum("n").alias("rows"),
+        F.min("original").alias("first_original"),
+        F.max("original").alias("last_original"),
+    )
+    return codes.where("originals > 1")

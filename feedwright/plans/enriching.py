@@ -30,9 +30,10 @@ from feedwright.operators.setops import union_all
 from feedwright.operators.sizing import Settled, settle
 from feedwright.operators.unique import flag_repeated
 from feedwright.plans.spec import FeedSpec, apply_steps
-from feedwright.plans.staging import read_staged
+from feedwright.plans.staging import read_staged, was_staged
 from feedwright.plans.zones import Zones
 from feedwright.session import scratch_run
+from feedwright.sources.files import exists
 from feedwright.sources.sinks import write_errors, write_increment, write_manifest, write_per_file
 from feedwright.sources.snapshot import Snapshot
 
@@ -242,11 +243,19 @@ def enrich(
     clock: RunClock | None = None,
     limits: Limits = DEFAULT_LIMITS,
 ) -> RunResult:
-    """Bring the staged files of one run into their dataset's snapshot."""
+    """Bring the staged files of one run into their dataset's snapshot.
+
+    A run that staged no file is an empty delivery: it leaves a manifest with
+    zeros and the snapshot alone. A run that was never staged is a failure.
+    """
     spec = specs[dataset]
     spec.check_columns()
     clock = clock or RunClock()
     try:
+        if was_staged(spark, spec, zones, run_id) and not exists(spark, zones.staged_run(spec.name, run_id)):
+            manifest = run_manifest(spark, spec.output_name, PROCESSED, 0, 0, clock.timestamp, RunClock().timestamp)
+            write_manifest(manifest, zones.run_manifests, clock.day, spec.output_name, run_id)
+            return RunResult(spec.name, PROCESSED, 0, 0, 0, None, None)
         staged = read_staged(spark, spec, zones, run_id)
     except Exception:
         _record_failure(spark, spec, zones, clock, run_id)

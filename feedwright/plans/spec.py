@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, replace
-from functools import partial
+from functools import partial, reduce
 from typing import Literal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedwright.functions.dates import CONFORMED_FORMATS, reformat_date
-from feedwright.functions.text import pad_code, quoted, strip_chars
+from feedwright.functions.text import pad_code, pad_whole, quoted, strip_chars
 from feedwright.operators.rules import any_present, bad_key, planogram_rule
 from feedwright.operators.schema import normalise_names, split_names
 
@@ -19,8 +19,9 @@ from feedwright.operators.schema import normalise_names, split_names
 Step = tuple[str, Callable[[Column], Column]]
 
 
-def pad(name: str, width: int) -> Step:
-    return name, partial(pad_code, width=width)
+def pad(name: str, width: int, cut: bool = True) -> Step:
+    """Zeros in front up to ``width``. Without ``cut`` longer codes stay, for ``FeedSpec.longest`` to refuse."""
+    return name, partial(pad_code if cut else pad_whole, width=width)
 
 
 def without(name: str, chars: str) -> Step:
@@ -58,7 +59,7 @@ class FeedSpec:
 
     ``before`` runs ahead of the key rule and ``after`` behind it, on passing
     rows only: padding a key first hides a blank, upper-casing it first changes
-    what counts as repeated. ``columns`` is empty for the widest feeds, whose
+    what counts as repeated. A code longer than ``longest`` allows is a bad key. ``columns`` is empty for the widest feeds, whose
     names come from a schema file; ``width`` is known for all.
     """
 
@@ -74,6 +75,7 @@ class FeedSpec:
     keys: tuple[str, ...] = ()
     date_keys: tuple[str, ...] = ()
     measures: tuple[str, ...] = ()
+    longest: tuple[tuple[str, int], ...] = ()
     key_rule: Literal["all", "any"] = "all"
     key_text: str = ""
     after: tuple[Step, ...] = ()
@@ -117,9 +119,9 @@ class FeedSpec:
         if self.measures:
             filled = [k for k in self.keys if k not in self.measures]
             return planogram_rule(filled, self.measures, string_order=True)
-        if not self.keys:
-            return F.lit(False)
-        return bad_key(self.keys, self.date_keys)
+        too_long = [F.coalesce(F.length(quoted(c)) > n, F.lit(False)) for c, n in self.longest]
+        bad = bad_key(self.keys, self.date_keys) if self.keys else F.lit(False)
+        return reduce(Column.__or__, too_long, bad)
 
     def passes(self) -> Column:
         """Rows that go on. With ``key_rule='any'`` one filled key is enough."""

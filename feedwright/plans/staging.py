@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import csv
+import re
 from collections.abc import Sequence
+from dataclasses import dataclass
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +15,7 @@ from feedwright.functions.dates import RunClock
 from feedwright.functions.text import quoted, strip_line_quotes, strip_quotes
 from feedwright.operators.records import (
     BAD_SCHEMA,
+    CHANGED,
     FAILED,
     FILE_MANIFEST,
     NO_FILE,
@@ -22,18 +25,23 @@ from feedwright.operators.records import (
     RAGGED,
     REJECTED,
 )
-from feedwright.operators.schema import HeaderVerdict, check_header, field_count, normalise_names, rebind
+from feedwright.operators.schema import (
+    HeaderVerdict,
+    check_header,
+    field_count,
+    normalise_names,
+    rebind,
+    text_schema,
+)
+from feedwright.operators.setops import union_all
 from feedwright.plans.spec import FeedSpec
 from feedwright.plans.zones import Zones
-from feedwright.sources.files import File, glob_files, list_names
-from feedwright.sources.readers import (
-    file_name,
-    read_lines,
-    read_piped,
-    read_typed_csv,
-    rows_per_file,
-)
-from feedwright.sources.sinks import write_errors, write_manifest
+from feedwright.session import scratch_path, scratch_run
+from feedwright.sources.files import File, delete_folder, exists, glob_files
+from feedwright.sources.readers import file_name, read_lines, read_piped, read_typed_csv
+from feedwright.sources.record_scan import parsed, quote_parity, read_records
+from feedwright.sources.sinks import run_path, write_errors, write_manifest
+from feedwright.sources.snapshot import Snapshot
 
 
 def _with_place(lines: DataFrame) -> DataFrame:
@@ -63,7 +71,9 @@ def narrow_lines(lines: DataFrame, width: int) -> DataFrame:
 def comma_fields(line: Column | str) -> Column:
     """Fields of a comma line; commas inside quotes do not count."""
     line = F.col(line) if isinstance(line, str) else line
-    return field_count(F.regexp_replace(line, '"(?:[^"]|"")*"', "q"), ",")
+    # Every other stretch between quotes is quoted; a doubled quote leaves an empty stretch outside.
+    outside = F.filter(F.split(line, '"'), lambda part, i: i % 2 == 0)
+    return field_count(F.when(F.contains(line, F.lit('"')), F.array_join(outside, "")).otherwise(line), ",")
 
 
 def ragged_lines(spark: SparkSession, paths: Sequence[str], width: int) -> DataFrame:
@@ -72,16 +82,102 @@ def ragged_lines(spark: SparkSession, paths: Sequence[str], width: int) -> DataF
     return lines.where(comma_fields("value") != width).select("FileName", F.col("value").alias("Line"))
 
 
-def _placed(spark: SparkSession, zones: Zones, dataset: str, run_id: str) -> set[str]:
-    """Names of files that other runs staged; files of the own run may be staged again."""
-    folder = zones.staged(dataset)
-    return {
-        unquote(n.removeprefix("file="))
-        for run in list_names(spark, folder)
-        if run != f"run_id={run_id}"
-        for n in list_names(spark, f"{folder}/{run}")
-        if n.startswith("file=")
-    }
+@dataclass(frozen=True)
+class Scanned:
+    """What one pass over the text says of a file."""
+
+    rows: int
+    first_line: str
+    #: Lines without the declared number of fields, and whether the first has it.
+    off: int
+    first_fits: bool
+    #: Lines with an odd number of quotes: a quoted field may hold a line break.
+    broken: int
+    digest: str
+
+
+def scan_files(spark: SparkSession, spec: FeedSpec, files: Sequence[File]) -> dict[str, Scanned]:
+    """Every file by its path, in one scan: header, lines, odd lines, and a digest of all lines in any order."""
+    lines = read_lines(spark, [f.path for f in files]).select(
+        "value",
+        F.col("_metadata.file_path").alias("path"),
+        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("place"),
+    )
+    if not spec.piped:
+        lines = lines.where(F.trim("value") != "")
+    fields = field_count("value") if spec.piped else comma_fields("value")
+    hashed = F.xxhash64("value")
+    sums = [F.bit_xor(hashed), F.sum(F.shiftright(hashed, 32)), F.sum(hashed.bitwiseAND(0xFFFFFFFF))]
+    found = lines.groupBy("path").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.min_by("value", "place").alias("first_line"),
+        F.count_if(fields != spec.width).alias("off"),
+        (F.min_by(fields, "place") == spec.width).alias("first_fits"),
+        F.sum(quote_parity("value")).alias("broken"),
+        F.sha2(F.concat_ws(":", *[c.cast("string") for c in sums]), 256).alias("digest"),
+    )
+    by_path = {plain_path(unquote(r["path"])): r for r in found.collect()}
+    nothing = Scanned(0, "", 0, False, 0, "")
+    header = 0 if spec.piped else 1
+    out = {}
+    for f in files:
+        r = by_path.get(plain_path(f.path))
+        out[f.path] = nothing if r is None else Scanned(
+            r["rows"] - header, r["first_line"], r["off"], r["first_fits"], 0 if spec.piped else r["broken"], r["digest"]
+        )
+    return out
+
+
+def plain_path(path: str) -> str:
+    """A listed path without its scheme, which listings and scans spell differently."""
+    return re.sub("^[a-z0-9+.-]+:/*", "/", path)
+
+
+def file_ids(files: Sequence[File]) -> tuple[dict[str, str], int]:
+    """A name for each path, with as many folders as tell all of them apart, and the number of its parts."""
+    for parts in range(1, max(f.path.count("/") for f in files) + 2):
+        ids = {f.path: "/".join(f.path.rsplit("/", parts)[-parts:]) for f in files}
+        if len(set(ids.values())) == len(files):
+            break
+    return ids, parts
+
+
+def file_id(parts: int, path: Column | None = None) -> Column:
+    """The id of a row's file by its path, as ``file_ids`` spells it."""
+    if parts == 1 and path is None:
+        return file_name()
+    path = F.col("_metadata.file_path") if path is None else path
+    # A plus sign is none of the escapes of a path.
+    return F.substring_index(F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), "/", -parts)
+
+
+LEDGER = ["path", "name", "size", "digest", "run", "verdict"]
+WITHDRAWN = "Withdrawn"
+
+
+def ledger(spark: SparkSession, zones: Zones, dataset: str) -> Snapshot:
+    """The files that runs of a dataset have staged: one row per path, updated by each run's own files."""
+    return Snapshot(spark, zones.file_ledger(dataset), LEDGER, keys=["path"])
+
+
+def _placed(spark: SparkSession, book: Snapshot, rows: list[tuple], run_id: str) -> dict[str, bool]:
+    """Paths that another run staged, and whether the file is still the one it staged."""
+    asked = spark.createDataFrame(rows, "path string, size string, digest string")
+    held = book.read().where((F.col("verdict") == PROCESSED) & (F.col("run") != run_id))
+    same = (F.col("held.size") == F.col("asked.size")) & (F.col("held.digest") == F.col("asked.digest"))
+    # As many rows as files were listed; only those meet the ledger.
+    met = held.alias("held").join(F.broadcast(asked.alias("asked")), F.col("held.path") == F.col("asked.path"))
+    return {r["path"]: r["same"] for r in met.select("asked.path", same.alias("same")).collect()}
+
+
+def _enter(spark: SparkSession, book: Snapshot, accepted: list[tuple], run_id: str) -> None:
+    """Enter a run's accepted files; files that it staged before and no longer accepts are withdrawn."""
+    now = spark.createDataFrame([(*a, run_id, PROCESSED) for a in accepted], text_schema(LEDGER))
+    gone = book.read().where((F.col("run") == run_id) & (F.col("verdict") == PROCESSED)).join(now, "path", "left_anti")
+    rows = gone.withColumn("verdict", F.lit(WITHDRAWN)).select(*LEDGER).unionByName(now).collect()
+    if rows:
+        book.upsert(spark.createDataFrame(rows, text_schema(LEDGER)), len(rows))
+        book.tidy()
 
 
 def _staged_text(name: str) -> Column:
@@ -99,17 +195,22 @@ def stage(
 ) -> DataFrame:
     """Stage the files of one feed and return their manifest.
 
-    Headed files need the declared header. Their rows with too few or too many
-    fields are filled or cut, counted in the manifest and kept as text in
-    ``zones.line_records``. Headerless files need the declared number of fields
-    in each line, or without ``every_line`` in their first. Accepted rows go to
-    ``run_id=<run>/file=<name>`` in one parallel job; raw files are left where
-    they are. Staging the same run again replaces what it wrote.
+    Headed files need the declared header. Quoted fields may hold line breaks.
+    Rows with too few or too many fields are filled or cut, counted in the
+    manifest and kept as text in ``zones.line_records``. Headerless files need
+    the declared number of fields in each line, or without ``every_line`` in
+    their first. Accepted rows go to ``run_id=<run>/file=<name>`` in one parallel
+    job, where files of one base name carry as much of their folders as tells
+    them apart; raw files are left where they are. A ledger keeps path, size and
+    digest of what runs have staged: a path that another run staged is refused,
+    with another remark when its lines have changed since. Staging the same run
+    again replaces its folder as a whole, and withdraws files it no longer accepts.
     """
     spec.check_columns()
     clock = clock or RunClock()
     try:
-        rows = _stage(spark, spec, zones, run_id, clock, every_line)
+        with scratch_run(spark):
+            rows = _stage(spark, spec, zones, run_id, clock, every_line)
     except Exception:
         failed = [(spec.raw_glob, FAILED, "", None, clock.timestamp, RunClock().timestamp)]
         write_manifest(spark.createDataFrame(failed, FILE_MANIFEST), zones.file_manifests, clock.day, spec.name, run_id)
@@ -121,62 +222,100 @@ def stage(
 
 def _stage(spark, spec, zones, run_id, clock, every_line) -> list[tuple]:
     files = glob_files(spark, zones.raw(spec.raw_glob), spec.exclude)
+    target = zones.staged_run(spec.name, run_id)
+    book = ledger(spark, zones, spec.name)
     if not files:
+        delete_folder(spark, target)
+        _enter(spark, book, [], run_id)
         return [(spec.raw_glob, REJECTED, NO_FILE, None, clock.timestamp, RunClock().timestamp)]
-    if len({f.name for f in files}) < len(files):
-        raise ValueError(f"{spec.raw_glob} finds several files of one name")
-    placed = _placed(spark, zones, spec.name, run_id)
+    ids, parts = file_ids(files)
+    scanned = scan_files(spark, spec, files)
     if spec.piped:
-        counted = {r["file"]: r for r in narrow_lines(read_lines(spark, [f.path for f in files]), spec.width).collect()}
-        fits = {n for n, r in counted.items() if (r["off"] == 0 if every_line else r["first_fits"])}
-        rows = {n: r["rows"] for n, r in counted.items()}
+        fits = {f for f, s in scanned.items() if s.rows and (s.off == 0 if every_line else s.first_fits)}
     else:
-        fits = {n for n, v in header_verdicts(spark, spec, files).items() if v.valid}
-        rows = {}
-    accepted = [f for f in files if f.name in fits and f.name not in placed]
-    target = zones.staged_run(spec.name, run_id)
-    if accepted:
-        _write(spark, spec, [f.path for f in accepted], target)
-    ragged = {}
-    if accepted and not spec.piped:
-        off = ragged_lines(spark, [f.path for f in accepted], spec.width)
-        path = write_errors(off, zones.line_records, clock.day, spec.name, run_id)
-        ragged = {r["FileName"]: r["count"] for r in spark.read.parquet(path).groupBy("FileName").count().collect()}
+        headers = {f: next(csv.reader([s.first_line]), []) for f, s in scanned.items()}
+        fits = {f for f, found in headers.items() if check_header(spec.columns, found).valid}
+    named = [(plain_path(f.path), str(f.size), scanned[f.path].digest) for f in files]
+    placed = _placed(spark, book, named, run_id)
+    accepted = [f for f in files if f.path in fits and plain_path(f.path) not in placed]
+    broken = [f for f in accepted if scanned[f.path].broken]
+    rows = {f: s.rows for f, s in scanned.items()}
+    ragged = {f.path: scanned[f.path].off for f in accepted if not spec.piped and f not in broken}
+    records = _records(spark, broken, parts) if broken else None
+    _write(spark, spec, [f for f in accepted if f not in broken], records, target, parts)
     if not spec.piped:
-        rows = _headed_rows(spark, spec, accepted, [f for f in files if f not in accepted], target)
+        _keep_ragged(spark, spec, zones, run_id, clock, [f for f in accepted if ragged.get(f.path)], records)
+    if broken:
+        counted = records.groupBy("file").agg(
+            F.count(F.lit(1)).alias("rows"), F.count_if(comma_fields("value") != spec.width).alias("off")
+        )
+        found = {r["file"]: r for r in counted.collect()}
+        for f in broken:
+            r = found.get(ids[f.path])
+            rows[f.path], ragged[f.path] = (r["rows"] - 1, r["off"]) if r else (0, 0)
+    _enter(spark, book, [(plain_path(f.path), ids[f.path], str(f.size), scanned[f.path].digest) for f in accepted], run_id)
     ended = RunClock().timestamp
 
     def verdict(f: File) -> tuple[str, str]:
-        if f.name not in fits:
+        if f.path not in fits:
             return REJECTED, BAD_SCHEMA
-        if f.name in placed:
-            return REJECTED, NOT_PLACED
-        return PROCESSED, RAGGED.format(ragged[f.name]) if f.name in ragged else NO_REMARK
+        if plain_path(f.path) in placed:
+            return REJECTED, NOT_PLACED if placed[plain_path(f.path)] else CHANGED
+        return PROCESSED, RAGGED.format(ragged[f.path]) if ragged.get(f.path) else NO_REMARK
+
+    return [(ids[f.path], *verdict(f), rows[f.path], clock.timestamp, ended) for f in files]
+
+
+def _records(spark: SparkSession, files: Sequence[File], parts: int) -> DataFrame:
+    """file, record and value of files with quoted line breaks, headers included; written once for the steps that read them."""
+    found = read_records(spark, [f.path for f in files])
+    found = found.select(file_id(parts, F.col("path")).alias("file"), "record", "value")
+    folder = scratch_path(spark, "staged-records")
+    found.write.parquet(folder)
+    return spark.read.parquet(folder)
 
-    return [(f.name, *verdict(f), rows.get(f.name, 0), clock.timestamp, ended) for f in files]
 
+def _without_header(records: DataFrame) -> DataFrame:
+    first = records.groupBy("file").agg(F.min("record").alias("header"))
+    # One row per file.
+    return records.join(F.broadcast(first), "file").where("record > header").drop("header")
 
-def _headed_rows(spark, spec, accepted, refused, target) -> dict[str, int]:
-    """Rows per file: of accepted files from what was staged, of the others from the raw text."""
-    counts = []
-    if accepted:
-        staged = spark.read.schema("file string").parquet(target)
-        counts += staged.where(F.col("file").isin([f.name for f in accepted])).groupBy("file").count().collect()
-    if refused:
-        raw = read_typed_csv(spark, [f.path for f in refused], normalise_names(spec.columns))
-        counts += rows_per_file(raw).collect()
-    return {r[0]: r[1] for r in counts}
 
+def _keep_ragged(spark, spec, zones, run_id, clock, files: Sequence[File], records: DataFrame | None) -> None:
+    """Lines and records with too few or too many fields, as text beside the manifest."""
+    off = spark.createDataFrame([], text_schema("FileName,Line"))
+    if files:
+        off = off.unionByName(ragged_lines(spark, [f.path for f in files], spec.width))
+    if records is not None:
+        wrong = records.where(comma_fields("value") != spec.width)
+        off = off.unionByName(wrong.select(F.col("file").alias("FileName"), F.col("value").alias("Line")))
+    write_errors(off, zones.line_records, clock.day, spec.name, run_id)
 
-def _write(spark: SparkSession, spec: FeedSpec, paths: list[str], target: str) -> None:
+
+def _write(
+    spark: SparkSession, spec: FeedSpec, files: Sequence[File], records: DataFrame | None, target: str, parts: int
+) -> None:
+    """The rows of accepted files in place of whatever the run's folder held."""
+    paths = [f.path for f in files]
+    if not paths and records is None:
+        delete_folder(spark, target)
+        return
     if spec.piped:
-        lines = read_lines(spark, paths).select(strip_line_quotes("value").alias("value"), file_name().alias("file"))
-        lines.write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("file").text(target)
+        lines = read_lines(spark, paths).select(strip_line_quotes("value").alias("value"), file_id(parts).alias("file"))
+        lines.write.mode("overwrite").partitionBy("file").text(target)
         return
     names = normalise_names(spec.columns)
-    scan = read_typed_csv(spark, paths, names)
-    cleaned = scan.select(*[_staged_text(n) for n in names], file_name().alias("file"))
-    cleaned.write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("file").parquet(target)
+    rows = [parsed(_without_header(records), names, "file")] if records is not None else []
+    if paths:
+        rows.append(read_typed_csv(spark, paths, names).withColumn("file", file_id(parts)))
+    cleaned = union_all(*rows).select(*[_staged_text(n) for n in names], "file")
+    cleaned.write.mode("overwrite").partitionBy("file").parquet(target)
+
+
+def was_staged(spark: SparkSession, spec: FeedSpec, zones: Zones, run_id: str) -> bool:
+    """Whether a run has staged this feed, with or without accepting a file; a run that broke has not."""
+    path = run_path(zones.file_manifests, spec.name, run_id)
+    return exists(spark, path) and not spark.read.parquet(path).where(F.col("Status") == FAILED).limit(1).count()
 
 
 def read_staged(spark: SparkSession, spec: FeedSpec, zones: Zones, run_id: str) -> DataFrame:

@@ -32,6 +32,13 @@ class Zones:
     def coverage(self, report: str) -> str:
         return f"{self.root}/Enriched/coverage/{report}"
 
+    def file_ledger(self, dataset: str) -> str:
+        return f"{self.root}/Errors/file_ledger/{dataset}"
+
+    @property
+    def load_reports(self) -> str:
+        return f"{self.root}/Errors/loads"
+
     @property
     def file_manifests(self) -> str:
         return f"{self.root}/Errors/raw_to_stage"

@@ -22,12 +22,13 @@ def _system(spark: SparkSession, path: str):
 class File:
     path: str
     name: str
+    size: int = 0
 
 
 def glob_files(spark: SparkSession, pattern: str, exclude: Sequence[str] = ()) -> list[File]:
     """Files matching ``pattern``, sorted, without those whose name fits an ``exclude`` pattern."""
     found = _system(spark, pattern).globStatus(_path(spark, pattern)) or []
-    files = [File(s.getPath().toString(), s.getPath().getName()) for s in found]
+    files = [File(s.getPath().toString(), s.getPath().getName(), s.getLen()) for s in found]
     return sorted(
         (f for f in files if not any(fnmatch.fnmatch(f.name, x) for x in exclude)), key=lambda f: f.path
     )

@@ -17,20 +17,21 @@ def write_increment(df: DataFrame, root: str, run_id: str) -> str:
     return path
 
 
-def _run_path(root: str, dataset: str, run_id: str) -> str:
+def run_path(root: str, dataset: str, run_id: str) -> str:
+    """Where a run's manifest or records of one dataset lie."""
     return f"{root}/dataset={dataset}/run_id={run_id}"
 
 
 def write_errors(records: DataFrame, root: str, day: str, dataset: str, run_id: str) -> str:
     """Error records of one run, below ``<root>/dataset=<dataset>/run_id=<run>``; the same run replaces them."""
-    path = _run_path(root, dataset, run_id)
+    path = run_path(root, dataset, run_id)
     records.withColumn("run_date", F.lit(day)).write.mode("overwrite").parquet(path)
     return path
 
 
 def write_manifest(manifest: DataFrame, root: str, day: str, dataset: str, run_id: str) -> None:
     """The manifest of one run; the same run replaces it."""
-    manifest.withColumn("run_date", F.lit(day)).write.mode("overwrite").parquet(_run_path(root, dataset, run_id))
+    manifest.withColumn("run_date", F.lit(day)).write.mode("overwrite").parquet(run_path(root, dataset, run_id))
 
 
 def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "errorifexists") -> None:
