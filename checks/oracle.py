@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from feedwright.operators.records import BAD_KEY, DUPLICATE, FACT_LOOKUP
+from feedwright.operators.records import BAD_KEY, DUPLICATE, FACT_LOOKUP, LOOKUP
 
 
 def orders_as(form: str, where: str = "true", day: str = "o_orderdate") -> str:
@@ -157,6 +157,13 @@ SALES_CHECKED = """products AS (
                l_suppkey IN (SELECT s_suppkey FROM stores) AS store
         FROM lineitem)"""
 
+BASKET_CHECKED = """baskets AS (
+        SELECT *, l_returnflag = 'R' AS bad, o_custkey IN (SELECT c_custkey FROM customer WHERE c_nationkey > 3) AS guest,
+               l_partkey IN (SELECT p_partkey FROM part WHERE p_size > 10) AS item,
+               l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_nationkey > 2) AS concept,
+               l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_nationkey < 20) AS held
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
+
 ORACLE: dict[str, str] = {
     "key_rule_clean": f"WITH f AS ({orders_as(DASHED)}) SELECT * FROM f WHERE o_orderkey NOT IN ('', '0') AND o_custkey NOT IN ('', '0')",
     "key_rule_errors": f"""
@@ -335,6 +342,57 @@ ORACLE: dict[str, str] = {
         WHERE NOT bad AND NOT product HAVING count(*) > 0
         UNION ALL SELECT '{FACT_LOOKUP.format("LocationNbr")}', count(*) FROM sales
         WHERE NOT bad AND NOT store HAVING count(*) > 0""",
+    "raw_inventory": f"""
+        WITH {SALES_CHECKED}
+        SELECT CAST(l_orderkey AS VARCHAR) AS EOHSales, CAST(l_linenumber AS VARCHAR) AS EOHUnits,
+               CAST(l_suppkey AS VARCHAR) AS LocationNbr, CAST(l_partkey AS VARCHAR) AS ProductNbr
+        FROM sales WHERE NOT bad AND product AND store""",
+    "raw_inventory_errors": f"""
+        WITH {SALES_CHECKED}
+        SELECT '{BAD_KEY.format("LocationNbr, ProductNbr, TransWeek")}' AS Error_Description, count(*) AS n
+        FROM sales WHERE bad HAVING count(*) > 0
+        UNION ALL SELECT '{FACT_LOOKUP.format("ProductNbr")}', count(*) FROM sales
+        WHERE NOT bad AND NOT product HAVING count(*) > 0
+        UNION ALL SELECT '{FACT_LOOKUP.format("LocationNbr")}', count(*) FROM sales
+        WHERE NOT bad AND NOT store HAVING count(*) > 0""",
+    "raw_basket": f"""
+        WITH {BASKET_CHECKED}
+        SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS RGTN_I, CAST(l_linenumber AS VARCHAR) AS LITM_ENTR_SEQ_I,
+               CAST(o_custkey + 1 AS VARCHAR) AS GST_REF_I, CAST(l_partkey + 1 AS VARCHAR) AS MDSE_ITEM_I,
+               CAST(l_suppkey + 1 AS VARCHAR) AS CO_LOC_I, strftime(date_trunc('month', o_orderdate), '{SLASHED}') AS SLS_D
+        FROM baskets WHERE NOT bad AND guest AND item AND concept AND held""",
+    "raw_basket_errors": f"""
+        WITH {BASKET_CHECKED}, failed AS (
+          SELECT * FROM (VALUES ('GST_REF_I when mapped to GST_DEMOS.GST_REF_I', 'guest'),
+            ('CO_LOC_REF_I when mapped to STR_CNCPT.CO_LOC_REF_I', 'concept'), ('CO_LOC_REF_I when mapped to STR_CURR.STR_I', 'held'),
+            ('CO_LOC_I when mapped to STR_CNCPT.CO_LOC_I', 'concept'), ('CO_LOC_I when mapped to STR_CURR.SITE_SEQ_I', 'held'),
+            ('MDSE_ITEM_I when mapped to ITEM_HIER.MDSE_ITEM_I', 'item'),
+            ('MDSE_ITEM_REF_I when mapped to ITEM_HIER.MDSE_ITEM_REF_I', 'item')) v(label, kind))
+        SELECT '{BAD_KEY.format("GST_REF_I, MDSE_ITEM_I, MDSE_ITEM_REF_I,SLS_D,CO_LOC_I,CO_LOC_REF_I")}' AS Error_Description,
+               count(*) AS n FROM baskets WHERE bad HAVING count(*) > 0
+        UNION ALL
+        SELECT replace('{FACT_LOOKUP}', '{{}}', label), count(DISTINCT (o_custkey, o_orderdate, l_orderkey, l_linenumber, l_partkey, l_suppkey))
+        FROM baskets, failed
+        WHERE NOT bad AND NOT CASE kind WHEN 'guest' THEN guest WHEN 'item' THEN item WHEN 'concept' THEN concept ELSE held END
+        GROUP BY label""",
+    "raw_assortment_tree": """
+        SELECT lpad('0' || CAST(p_partkey + 1 AS VARCHAR), 9, '0') AS DPCI, p_brand AS brand, p_type AS Form
+        FROM part WHERE p_size > 10 AND p_size <> 50""",
+    "raw_assortment_tree_errors": f"""
+        SELECT '{BAD_KEY.format("DPCI")}' AS Error_Description, count(DISTINCT (p_brand, p_type)) AS n
+        FROM part WHERE p_size = 50 HAVING count(*) > 0
+        UNION ALL SELECT '{LOOKUP.format("DPCI")}', count(*) FROM part WHERE p_size <= 10 HAVING count(*) > 0""",
+    "raw_price_list": f"""
+        SELECT lpad(CAST(o_orderkey AS VARCHAR), 13, '0') AS UNIT_UPC, strftime(o_orderdate, '{SLASHED}') AS Material_status_date,
+               CAST(o_custkey AS VARCHAR) AS GTIN
+        FROM orders WHERE o_orderstatus <> 'P' AND o_orderkey <> 0""",
+    "raw_promotion_events": f"""
+        SELECT DISTINCT o_orderstatus AS Retailer, o_orderpriority AS PPG, strftime(o_orderdate, '{SLASHED}') AS AMPS_Event_Start_Date
+        FROM orders WHERE o_orderstatus <> 'P' AND o_orderpriority < '4'""",
+    "raw_promotion_errors": f"""
+        WITH o AS (SELECT DISTINCT o_orderstatus, o_orderpriority, o_orderdate FROM orders)
+        SELECT '{BAD_KEY.format("Retailer,PPG")}' AS Error_Description, count(*) AS n FROM o WHERE o_orderstatus = 'P' HAVING count(*) > 0
+        UNION ALL SELECT '{LOOKUP.format("PPG")}', count(*) FROM o WHERE o_orderstatus <> 'P' AND o_orderpriority >= '4' HAVING count(*) > 0""",
     "ragged_rows": """
         SELECT concat_ws(',', o_orderkey, o_custkey, o_orderstatus, 'EXTRA') AS Line
         FROM orders WHERE o_orderstatus = 'P'""",

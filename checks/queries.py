@@ -46,7 +46,7 @@ from feedwright.plans.spec import FeedSpec, LookupSpec, dates, pad, without
 from feedwright.plans.staging import header_verdicts, narrow_lines, read_staged, stage
 from feedwright.plans.zones import Zones
 from feedwright.session import scratch_path
-from feedwright.sources.files import glob_files
+from feedwright.sources.files import glob_files, list_names, move_file
 from feedwright.sources.readers import file_name, master_keys, read_headed_csv, read_lines, read_piped
 from feedwright.sources.sinks import write_csv, write_increment, write_lines, write_per_file, write_split
 from feedwright.sources.snapshot import Snapshot
@@ -819,7 +819,7 @@ def fact_run(spark, sf):
     found, lookups = judged_lines(spark, sf)
     clean = clean_rows(found.frame, spec, lookups)
     bounds = found.metrics["first_day"], found.metrics["last_day"]
-    # A line stands once under its order and number, as rows of a snapshot do, so history needs no distinct.
+    # No two past lines are equal, as in a snapshot, which holds each row once: history needs no distinct.
     return merge.replace_range(past_lines(spark, sf), clean, spec.day(), bounds=bounds, distinct=False)
 
 
@@ -986,7 +986,8 @@ def kept_feed(spark, zones, dataset: str):
 
 
 def error_counts(spark, zones, dataset: str):
-    errors = spark.read.parquet(zones.error_records).where(F.col("dataset") == dataset)
+    name = catalog.feeds()[dataset].output_name
+    errors = spark.read.parquet(zones.error_records).where(F.col("dataset") == name)
     return errors.groupBy("Error_Description").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -1050,3 +1051,155 @@ def catalog_sales(spark, sf):
 @query
 def catalog_sales_errors(spark, sf):
     return error_counts(spark, sales_run(spark, sf), "TargetPOS_Sales")
+
+
+# --- feeds of the catalog, from raw files ------------------------------------
+
+
+def deliver_raw(spark, zones, spec, df):
+    """``df`` as raw files whose names fit the feed's pattern, headed or piped as the feed is."""
+    folder = scratch_path(spark, "delivery")
+    df.select(*[F.col(tx.quoted(c)) for c in spec.columns]).write.csv(
+        folder, header=not spec.piped, sep="|" if spec.piped else ",", escape='"', emptyValue=""
+    )
+    for i, name in enumerate(n for n in list_names(spark, folder) if n.startswith("part-")):
+        move_file(spark, f"{folder}/{name}", zones.raw(spec.raw_glob.replace("*", f"_{i}")))
+
+
+def run_raw(spark, deliveries):
+    """Deliver, stage and enrich feeds of the catalog, masters first; the zones that hold the results."""
+    zones, specs = Zones(scratch_path(spark, "zones")), catalog.feeds()
+    for dataset, df in deliveries.items():
+        deliver_raw(spark, zones, specs[dataset], df)
+    report = load(spark, {n: specs[n] for n in deliveries}, zones, "r1", CLOCK)
+    if report.where("Status <> 'Processed'").count():
+        raise ValueError(f"not all of {list(deliveries)} were loaded")
+    return zones
+
+
+def inventory_run(spark, sf):
+    rows = sales_rows(spark, sf).withColumnsRenamed({"TotalSales": "EOHSales", "TotalUnits": "EOHUnits"})
+    lines = rows.select(*[F.col(c) if c in rows.columns else F.lit(None).cast("string").alias(c) for c in catalog.INVENTORY_COLUMNS])
+    masters = {"TargetPOS_Product": product_rows(spark, sf), "TargetPOS_Location": location_rows(spark, sf)}
+    return run_raw(spark, masters | {"TargetPOS_Inventory": lines})
+
+
+@query
+def raw_inventory(spark, sf):
+    """A weekly fact and its masters, from raw files to the snapshot."""
+    kept = kept_feed(spark, inventory_run(spark, sf), "TargetPOS_Inventory")
+    return kept.select("EOHSales", "EOHUnits", "LocationNbr", "ProductNbr")
+
+
+@query
+def raw_inventory_errors(spark, sf):
+    return error_counts(spark, inventory_run(spark, sf), "TargetPOS_Inventory")
+
+
+def basket_run(spark, sf):
+    """Lines as basket rows: guests of some nations, items above a size and stores of some nations are known."""
+    guests = table(spark, sf, "customer").where("c_nationkey > 3")
+    stores = table(spark, sf, "supplier")
+    items = table(spark, sf, "part").where("p_size > 10")
+    lines = table(spark, sf, "lineitem").join(table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    store, area = "l_suppkey + 1", "l_suppkey + 1000001"
+    return run_raw(
+        spark,
+        {
+            "GST_DEMOS": feed_rows(guests, "GST_DEMOS", GST_REF_I="c_custkey + 1", ST_C="c_mktsegment"),
+            "STR_CNCPT": feed_rows(stores.where("s_nationkey > 2"), "STR_CNCPT", CO_LOC_I="s_suppkey + 1", CO_LOC_REF_I="s_suppkey + 1000001"),
+            "STR_CURR": feed_rows(stores.where("s_nationkey < 20"), "STR_CURR", SITE_SEQ_I="s_suppkey + 1", STR_I="s_suppkey + 1000001"),
+            "ITEM_HIER": feed_rows(items, "ITEM_HIER", MDSE_ITEM_I="p_partkey + 1", MDSE_ITEM_REF_I="concat('R', p_partkey)"),
+            "Target_GRM": feed_rows(
+                lines,
+                "Target_GRM",
+                GST_REF_I="case when l_returnflag <> 'R' then o_custkey + 1 end",
+                SLS_D="date_format(date_trunc('month', o_orderdate), 'yyyy-MM-dd')",
+                RGTN_I="l_orderkey",
+                LITM_ENTR_SEQ_I="l_linenumber",
+                MDSE_ITEM_I="l_partkey + 1",
+                MDSE_ITEM_REF_I="concat('R', l_partkey)",
+                CO_LOC_I=store,
+                CO_LOC_REF_I=area,
+            ),
+        },
+    )
+
+
+@query
+def raw_basket(spark, sf):
+    """A piped fact with seven lookups in four piped masters."""
+    kept = kept_feed(spark, basket_run(spark, sf), "Target_GRM")
+    return kept.select("RGTN_I", "LITM_ENTR_SEQ_I", "GST_REF_I", "MDSE_ITEM_I", "CO_LOC_I", "SLS_D")
+
+
+@query
+def raw_basket_errors(spark, sf):
+    return error_counts(spark, basket_run(spark, sf), "Target_GRM")
+
+
+def tree_run(spark, sf):
+    """Parts as an assortment tree whose dashed codes are padded to meet the product master."""
+    parts = table(spark, sf, "part")
+    products = feed_rows(parts.where("p_size > 10"), "TargetPOS_Product", ProductNbr="lpad(p_partkey + 1, 9, '0')", ProductName="p_name")
+    code = "case when p_size <> 50 then concat('0-', p_partkey + 1) end"
+    rows = feed_rows(parts, "TargetCDT_Tea", DPCI=code, Form="p_type", **{"Brand Name": "p_brand"})
+    return run_raw(spark, {"TargetPOS_Product": products, "TargetCDT_Tea": rows.unionByName(rows)})
+
+
+@query
+def raw_assortment_tree(spark, sf):
+    """An append-distinct feed with a cleaned key and one lookup; each row is delivered twice."""
+    return kept_feed(spark, tree_run(spark, sf), "TargetCDT_Tea").select("DPCI", F.col("Brand Name").alias("brand"), "Form")
+
+
+@query
+def raw_assortment_tree_errors(spark, sf):
+    return error_counts(spark, tree_run(spark, sf), "TargetCDT_Tea")
+
+
+def price_rows(spark, sf):
+    return feed_rows(
+        table(spark, sf, "orders"),
+        "PriceList",
+        UNIT_UPC="case when o_orderstatus <> 'P' then o_orderkey end",
+        Material_status_date="date_format(o_orderdate, 'yyyyMMdd')",
+        GTIN="o_custkey",
+    )
+
+
+@query
+def raw_price_list(spark, sf):
+    """An append-distinct feed with packed dates and a padded code."""
+    return kept_feed(spark, run_raw(spark, {"PriceList": price_rows(spark, sf)}), "PriceList").select(
+        "UNIT_UPC", "Material_status_date", "GTIN"
+    )
+
+
+def event_ppg_run(spark, sf):
+    """Order rows as promotion events; groups are known for some priorities."""
+    known = feed_rows(
+        table(spark, sf, "orders").select("o_orderpriority").distinct().where("o_orderpriority < '4'"),
+        "PEA_PPG_Mapping",
+        PEA_PPG="o_orderpriority",
+        Nielsen="o_orderpriority",
+    )
+    events = feed_rows(
+        table(spark, sf, "orders"),
+        "PEA",
+        Retailer="case when o_orderstatus <> 'P' then o_orderstatus end",
+        PPG="o_orderpriority",
+        AMPS_Event_Start_Date="date_format(o_orderdate, 'yyyy-MM-dd')",
+    )
+    return run_raw(spark, {"PEA_PPG_Mapping": known, "PEA": events})
+
+
+@query
+def raw_promotion_events(spark, sf):
+    """An append-distinct feed with five dates and a mapping; equal events become one."""
+    return kept_feed(spark, event_ppg_run(spark, sf), "PEA").select("Retailer", "PPG", "AMPS_Event_Start_Date")
+
+
+@query
+def raw_promotion_errors(spark, sf):
+    return error_counts(spark, event_ppg_run(spark, sf), "PEA")

@@ -7,10 +7,12 @@ are fixed values: runs, reports and folders of existing users carry them.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from functools import cache
 from graphlib import TopologicalSorter
+from pathlib import Path
 
 from feedwright.functions.text import blank_to_null, replace_text, upper_key
-from feedwright.plans.spec import FeedSpec, LookupSpec, dates, pad, without
+from feedwright.plans.spec import FeedSpec, LookupSpec, dates, fill_schemas, pad, read_schemas, without
 
 # How dates arrive.
 DASHED = ("yyyy-M-d",)
@@ -526,7 +528,13 @@ def feeds() -> dict[str, FeedSpec]:
     """Every feed by dataset name."""
     listed = _plain_feeds() + _masters() + _group_feeds() + _mappings() + _weekly_facts()
     check_globs(listed)
-    return {s.name: s for s in listed}
+    return fill_schemas({s.name: s for s in listed}, declared_columns())
+
+
+@cache
+def declared_columns() -> dict[str, str]:
+    """The columns of narrow feeds, from the file beside this module."""
+    return read_schemas(Path(__file__).with_name("feed_columns.txt").read_text(encoding="utf-8").splitlines())
 
 
 def load_order(specs: Mapping[str, FeedSpec]) -> list[str]:

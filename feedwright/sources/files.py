@@ -45,6 +45,14 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in _system(spark, path).listStatus(_path(spark, path)))
 
 
+def move_file(spark: SparkSession, source: str, target: str) -> None:
+    """Give a file another name on the same file system; folders on the way are made."""
+    system = _system(spark, source)
+    system.mkdirs(_path(spark, target.rsplit("/", 1)[0]))
+    if system.exists(_path(spark, target)) or not system.rename(_path(spark, source), _path(spark, target)):
+        raise FileExistsError(target)
+
+
 def delete_folder(spark: SparkSession, path: str) -> bool:
     """Remove a folder this library wrote. Input files are never deleted."""
     return _system(spark, path).delete(_path(spark, path), True)
