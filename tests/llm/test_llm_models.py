@@ -694,3 +694,90 @@ def test_prefixes_of_one_digest_are_told_apart(spark):
         spark.createDataFrame([(1, 1, 1, 5), (1, 1, 1, 6)], "a bigint, b bigint, depth bigint, conv bigint"),
     )
     assert nodes.where("low <> high").count() == 1
+
+
+# --- long runs, secrets, repeated ids ------------------------------------
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["1" * 1_000_000, "account" + " " * 1_000_000 + "!", "1." * 500_000, "+" * 1_000_000, "+1 " * 330_000, "token" + " " * 1_000_000],
+    ids=["digits", "blanks", "dots", "plus", "plus digits", "cue"],
+)
+def test_long_runs_take_time_in_proportion(text):
+    def late(*_):
+        raise TimeoutError
+
+    signal.signal(signal.SIGALRM, late)
+    signal.alarm(20)
+    try:
+        found = pii.find_spans(text)
+    finally:
+        signal.alarm(0)
+    assert len([s for s in found if s[2] != "ip"]) == 0
+
+
+def test_ips_begin_at_runs_of_digits():
+    plain, r = re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)"), random.Random(2)
+    for _ in range(20_000):
+        text = "".join(r.choice("0123...55 ") for _ in range(r.randint(0, 30)))
+        assert [m.span() for m in plain.finditer(text)] == [m.span() for m in pii.IP.finditer(text)]
+
+
+def test_secrets_behind_cues():
+    key = "0123456789abcdef0123456789abcdef01234567"
+    for text in (f'the token = "{key}" of', f"api_key:{key}", f"SECRET => '{key}'.", f"Authorization: Bearer {key}"):
+        assert [(text[s:e], k) for s, e, k in pii.find_spans(text)] == [(key, "secret")]
+    for text in ("the token of the long day and night", "password: hunter2", "token = aaaaaaaaaaaaaaaaaaaa1", f"tokenizer = {key}", "secret: abcdefghijklmnopqrstuv"):
+        assert pii.find_spans(text) == []
+
+
+def test_texts_under_one_id_are_told_apart(spark):
+    one, other = "the long day and the night were over at last", "nothing here is like what the first text says at all"
+    rows = [(1, one, "a"), (1, other, "b"), (1, other, "b"), (2, one, "c"), (None, one, "d"), (3, other + " x" * 200, "e")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, node string")
+    kept = sorted((r["doc_id"] or 0, r["text"], r["node"]) for r in minmax.representatives(docs).collect())
+    assert kept == sorted([(0, one, "d"), (1, one, "a"), (1, other, "b"), (3, other + " x" * 200, "e")])
+
+
+def test_stars_need_no_more_rounds(spark):
+    def frame_of(*edges):
+        return spark.createDataFrame(edges, "u bigint, v bigint")
+
+    assert minmax.are_stars(frame_of((3, 1), (2, 1), (9, 4))) and minmax.are_stars(frame_of((3, 1)).limit(0))
+    assert not minmax.are_stars(frame_of((3, 2), (2, 1))) and not minmax.are_stars(frame_of((3, 1), (3, 2)))
+
+
+# --- models against plain ones -------------------------------------------
+
+
+def test_filter_counts_equal_exact_sets():
+    r = random.Random(3)
+    words = {k: ["".join(r.choice(a) for _ in range(r.randint(2, 7))) for _ in range(300)] for k, a in {"x": "abcdef", "y": "defghi", "z": "mnopé"}.items()}
+    languages = sorted(words)
+    grams = {k: langid.trigrams([" ".join(w)])[0] for k, w in words.items()}
+    numbers = np.concatenate([np.full(len(grams[k]), i) for i, k in enumerate(languages)])
+    made = langid.LanguageFilter.of(languages, np.concatenate([grams[k] for k in languages]), numbers)
+    sets = {k: set(g.tolist()) for k, g in grams.items()}
+    texts = [" ".join(r.choice(words[r.choice(languages)]) for _ in range(r.randint(1, 60))) for _ in range(300)] + ["", "123"]
+    names, scores = made.predict(texts)
+    for text, name, score in zip(texts, names, scores):
+        own = langid.trigrams([text])[0].tolist()
+        exact = [sum(g in sets[k] for g in own) for k in languages]
+        if own:
+            assert abs(score - max(exact) / len(own)) < 1e-3 and exact[languages.index(name)] == max(exact)
+        else:
+            assert (name, score) == ("und", 0.0)
+
+
+def test_scores_equal_plain_means():
+    r = random.Random(10)
+    words = ["".join(r.choice("abcde") for _ in range(r.randint(1, 9))) for _ in range(40)]
+    texts = [" ".join(r.choice(words) for _ in range(r.randint(0, 50))).encode() for _ in range(60)]
+    difference, bias = np.random.default_rng(1).normal(size=quality.BUCKETS), 0.3
+    for text, score in zip(texts, quality.score_texts(texts, difference, bias)):
+        own = text.split()
+        features = [b for w in own for b in quality.word_features(common.Words([w]), np.arange(1))[0].tolist()]
+        features += [0 for a, b in zip(own, own[1:]) if a == b]
+        mean = sum(difference[b] for b in features) / max(1, len(features))
+        assert abs(score - 1 / (1 + np.exp(-(mean + bias)))) < 1e-6
