@@ -32,6 +32,17 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored_narrow(df: DataFrame, purpose: str) -> DataFrame:
+    """``stored`` for the result of an aggregation over ids and hashes, in an eighth of the shuffle's partitions.
+
+    Partitions are laid out for documents; rows of a few numbers, one for each
+    key by now, need fewer tasks and files. Where Spark has brought partitions
+    together already, this changes nothing.
+    """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return stored(df.coalesce(max(1, partitions // 8)), purpose)
+
+
 #: Rows that one Arrow batch carries at most, so that a batch of long texts stays small.
 BATCH_ROWS = 1_000
 
@@ -68,22 +79,16 @@ def text_crc(name: str = "doc_id") -> Column:
 
 @cache
 def c_library() -> ctypes.CDLL | None:
-    """The C library of this worker, told to give large freed blocks straight back; None where it has no such call."""
+    """The C library of this worker where it can return freed memory to the machine, else None."""
     library = ctypes.CDLL(None)
-    if not hasattr(library, "mallopt"):
-        return None
-    # Else the limit rises with every large block that is freed, and workers keep the memory of their largest batch.
-    mmap_threshold, trim_threshold = -3, -1
-    library.mallopt(mmap_threshold, 1 << 20)
-    library.mallopt(trim_threshold, 1 << 24)
-    return library
+    return library if hasattr(library, "malloc_trim") else None
 
 
 def give_back() -> None:
     """Return what this worker has freed to the machine; workers are reused over stages and tasks."""
     pa.default_memory_pool().release_unused()
-    if c_library():
-        c_library().malloc_trim(0)
+    if library := c_library():
+        library.malloc_trim(0)
 
 
 Batches = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
@@ -94,7 +99,6 @@ def lean(run: Batches) -> Batches:
 
     @wraps(run)
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c_library()
         yield from run(batches)
         give_back()
 
@@ -103,7 +107,6 @@ def lean(run: Batches) -> Batches:
 
 def slices(batch: pa.RecordBatch, column: str = "text", limit: int = 1_000_000) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with at most ``limit`` bytes of text each; a longer text stands alone."""
-    c_library()
     sizes = batch.column(column)
     ends = list(accumulate(len(x) if (x := v.as_buffer()) is not None else 0 for v in sizes))
     start, done = 0, 0

@@ -16,7 +16,10 @@ joins over tables.
 
 Null and wordless texts have an empty set and link with nothing, and so do rows
 without an id (their component_id is null). Rows that repeat a ``doc_id`` are one
-document that links wherever one of its texts does.
+document that links wherever one of its texts does; ``representatives`` tells
+them apart by their texts. Texts of any length are read whole, an empty table
+gives no rows, and columns other than ``doc_id`` and ``text`` are not read,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -28,16 +31,30 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedwright.llm.common import ASCII_LOWER, Words, doc_columns, id_key, mixed, slices, stored, utf8_texts, whole_rows
+from feedwright.llm.common import (
+    ASCII_LOWER,
+    Words,
+    doc_columns,
+    mixed,
+    slices,
+    stored,
+    stored_narrow,
+    utf8_texts,
+    whole_rows,
+)
+from feedwright.llm.exact import with_digest
+from feedwright.llm.ranks import ranked
 
 SHINGLE = 5
 PERMUTATIONS = 144
 ROWS = 6
 #: Links hold from 100 * shared >= PERCENT * united.
 PERCENT = 75
-#: Members compared with a pivot in one group, and documents in one block.
-GROUP = 400
+#: Shingles of the members that are compared with a pivot in one group; a member longer than that is a group of its own.
+GROUP = 200_000
+#: Documents and shingles of one block.
 BLOCK = 192
+BLOCK_SHINGLES = 100_000
 #: Distinct shingles that a comparison of two blocks holds at a time.
 COLUMNS = 16_384
 
@@ -117,13 +134,13 @@ def signed(docs: DataFrame) -> DataFrame:
 
 
 def confirmed(pairs: DataFrame, candidates: DataFrame) -> DataFrame:
-    """The pairs (a, b) that link on full sets; texts come from ``candidates`` (doc, text).
+    """The pairs (a, b, n: shingles of b) that link on full sets; texts come from ``candidates`` (doc, text).
 
     Pairs are grouped by ``a`` and dealt to groups of bounded size, each with its own copy of ``a``.
     """
     pairs = stored(pairs, "pairs")
-    groups = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / GROUP).cast("int").alias("parts"))
-    groups = stored(groups, "pivots")
+    groups = pairs.groupBy("a").agg(F.ceil(F.sum("n") / GROUP).cast("int").alias("parts"))
+    groups = stored_narrow(groups, "pivots")
     dealt = pairs.join(groups, "a").select(
         "a", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), F.col("b").alias("doc")
     )
@@ -149,28 +166,33 @@ def confirmed(pairs: DataFrame, candidates: DataFrame) -> DataFrame:
     return with_text.groupBy("a", "part").applyInArrow(link, "a bigint, b bigint")
 
 
+def are_stars(edges: DataFrame) -> bool:
+    """Whether every id has one smaller neighbour or only larger ones."""
+    ends = edges.select(F.col("u").alias("id"), F.lit(1).alias("child"), F.lit(0).alias("centre")).unionByName(
+        edges.select(F.col("v").alias("id"), F.lit(0).alias("child"), F.lit(1).alias("centre"))
+    )
+    seen = ends.groupBy("id").agg(F.sum("child").alias("child"), F.max("centre").alias("centre"))
+    return not seen.where("child > 1 or child > 0 and centre > 0").limit(1).count()
+
+
 def components(links: DataFrame) -> DataFrame:
-    """doc, label: the smallest id that links reach, for every id in a link.
+    """doc, label: the smallest id that links reach, for every id in a link (links are stored).
 
     Each round sends every id's smallest neighbour to its larger neighbours
-    (large star) and then to all smaller ones (small star); a round that changes
-    nothing ends it.
+    (large star) and then to all smaller ones (small star), until all edges form
+    stars. Minima are written before they are joined, so hot ids can be split.
     """
-    edges = stored(
-        links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges"
-    )
-    while True:
+    edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v")
+    while not are_stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = stored(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
+        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = stored_narrow(least, "least")
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = stored(large.where("u <> v").distinct(), "large")
-        top = stored(large.groupBy("u").agg(F.min("v").alias("m")), "top")
+        large = stored(large.where("u <> v"), "large")
+        top = stored_narrow(large.groupBy("u").agg(F.min("v").alias("m")), "top")
         small = large.join(top, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        new = stored(small.unionByName(top.select("u", F.col("m").alias("v"))).where("u <> v").distinct(), "edges")
-        same = new.exceptAll(edges).limit(1).count() == 0 and edges.exceptAll(new).limit(1).count() == 0
-        edges = new
-        if same:
-            break
+        new = small.unionByName(top.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
+        edges = stored_narrow(new, "edges")
     roots = edges.select("v").distinct()
     return edges.select(F.col("u").alias("doc"), F.col("v").alias("label")).unionByName(
         roots.select(F.col("v").alias("doc"), F.col("v").alias("label"))
@@ -186,7 +208,7 @@ def near_components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id of each row."""
     rows = stored(signed(docs), "signed")
     sets = rows.where("n_shingles > 0 and doc_id is not null")
-    classes = stored(
+    classes = stored_narrow(
         sets.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("doc"), F.max("doc_id").alias("last")), "classes"
     )
     members = (
@@ -196,7 +218,7 @@ def near_components(docs: DataFrame) -> DataFrame:
     )
     # Aggregates are stored before they are joined: a join of two plain shuffles lets Spark split hot keys.
     shared = members.groupBy("key").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last")
-    shared = stored(shared.select("key"), "shared-keys")
+    shared = stored_narrow(shared.select("key"), "shared-keys")
     buckets = stored(members.join(shared, "key").dropDuplicates(["key", "doc"]), "buckets")
     wanted = buckets.select("doc").distinct()
     candidates = stored(
@@ -205,9 +227,9 @@ def near_components(docs: DataFrame) -> DataFrame:
     same = sets.join(classes.where("doc < last"), ["set_a", "set_b"]).where("doc_id <> doc")
     links = same.select(F.col("doc").alias("a"), F.col("doc_id").alias("b"))
     copies = links.distinct()
-    pivots = stored(buckets.groupBy("key").agg(F.min(F.struct("doc", "n")).alias("p")), "bucket-pivots")
+    pivots = stored_narrow(buckets.groupBy("key").agg(F.min(F.struct("doc", "n")).alias("p")), "bucket-pivots")
     pairs = buckets.join(pivots, "key").where("doc <> p.doc").where(near_size("n", "p.n"))
-    pairs = pairs.select(F.col("p.doc").alias("a"), F.col("doc").alias("b")).distinct()
+    pairs = pairs.select(F.col("p.doc").alias("a"), F.col("doc").alias("b"), "n").distinct()
     links = stored(confirmed(pairs, candidates).unionByName(copies), "links")
     labels = stored(components(links), "labels")
     more = stored(across_components(buckets, labels, candidates), "more")
@@ -225,8 +247,9 @@ def star_links(labels: DataFrame) -> DataFrame:
 def across_components(buckets: DataFrame, labels: DataFrame, candidates: DataFrame) -> DataFrame:
     """Links (a, b) between different components that share a bucket.
 
-    A bucket of at most ``BLOCK`` documents is compared as a whole. The documents
-    of larger buckets are dealt to blocks, and pairs of blocks are compared.
+    A bucket of at most ``BLOCK`` documents and ``BLOCK_SHINGLES`` shingles is
+    compared as a whole. The documents of larger buckets are dealt to blocks of
+    about that size, and pairs of blocks are compared.
     """
     rows = buckets.join(labels, "doc", "left").withColumn("label", F.coalesce("label", "doc"))
     several = rows.groupBy("key").agg(
@@ -234,27 +257,30 @@ def across_components(buckets: DataFrame, labels: DataFrame, candidates: DataFra
         F.max("label").alias("y"),
         F.min("doc").alias("lead"),
         F.count(F.lit(1)).alias("size"),
+        F.sum("n").alias("shingles"),
         F.bit_xor(F.xxhash64("doc")).alias("same"),
     )
+    fits = (F.col("size") <= BLOCK) & (F.col("shingles") <= BLOCK_SHINGLES)
     # Buckets with the same members need one comparison.
     several = several.where("x < y").dropDuplicates(["lead", "size", "same"])
-    several = stored(several.select("key", "lead", "size"), "several")
+    several = stored_narrow(several.select("key", "lead", fits.alias("fits")), "several")
     rows = stored(rows.join(several, "key"), "open")
-    small = rows.where(F.col("size") <= BLOCK).select(
+    small = rows.where("fits").select(
         F.col("key").alias("block"), F.col("key").alias("other"), F.lit(0).alias("side"), "doc", "label"
     )
-    rows = rows.where(F.col("size") > BLOCK)
-    lead = stored(rows.groupBy("doc", "label").agg(F.min("lead").alias("lead")), "leads")
-    sizes = lead.groupBy("lead").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts"))
+    rows = rows.where("not fits")
+    lead = stored_narrow(rows.groupBy("doc", "label").agg(F.min("lead").alias("lead"), F.max("n").alias("n")), "leads")
+    parts = F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") / BLOCK_SHINGLES)
+    sizes = lead.groupBy("lead").agg(F.ceil(parts).cast("int").alias("parts"))
     blocks = lead.join(sizes, "lead").select(
         "doc", "label", F.xxhash64("lead", F.pmod(F.xxhash64("doc"), F.col("parts"))).alias("block")
     )
     blocks = stored(blocks, "blocks")
     met = rows.join(blocks.select("doc", "block"), "doc").groupBy("key", "block")
-    met = stored(met.agg(F.min("label").alias("x"), F.max("label").alias("y")), "met")
+    met = stored_narrow(met.agg(F.min("label").alias("x"), F.max("label").alias("y")), "met")
     other = met.select("key", F.col("block").alias("other"), F.col("x").alias("ox"), F.col("y").alias("oy"))
     pairs = met.join(other, "key").where("block <= other and (x < y or ox < oy or x <> ox)")
-    pairs = stored(pairs.select("block", "other").distinct(), "block-pairs")
+    pairs = stored_narrow(pairs.select("block", "other").distinct(), "block-pairs")
     sides = pairs.select("block", "other", F.lit(0).alias("side"), F.col("block").alias("own")).unionByName(
         pairs.where("block <> other").select("block", "other", F.lit(1).alias("side"), F.col("other").alias("own"))
     )
@@ -295,14 +321,29 @@ def shared_counts(flat: np.ndarray, starts: np.ndarray, left: np.ndarray, right:
     return out
 
 
+def _kept(found: DataFrame) -> DataFrame:
+    return found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("number"))
+
+
 def representatives(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, all columns: the smallest id of each component, and every row without an id."""
-    found = near_components(docs)
-    kept = found.where(F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id")))
-    kept = stored(kept.groupBy(id_key("doc_id").alias("key")).agg(F.count(F.lit(1)).alias("copies")), "kept")
-    rows = whole_rows(docs).withColumn("key", id_key("id")).join(kept, "key")
-    if kept.where("copies > 1 and key <> ''").limit(1).count():
-        once = rows.where("copies = 1 or key = ''")
-        again = rows.where("copies > 1 and key <> ''").dropDuplicates(["key"])
-        rows = once.unionByName(again)
-    return rows.select("row.*")
+    """The rows of ``docs`` that stay, all columns: the first document of each component, and every row without an id.
+
+    Where ids repeat, rows are judged by id and text: unrelated texts under one
+    id both stay. The first is the one with the smallest id, of equal ids the
+    one with the smallest digest of its text; of equal rows one stays.
+    """
+    ids = docs.select(F.col("doc_id").cast("bigint").alias("id")).where("id is not null")
+    if not ids.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count():
+        kept = stored(_kept(near_components(docs)), "kept")
+        rows = whole_rows(docs)
+        stays = rows.join(kept, F.col("id") == F.col("number"), "left_semi")
+        return stays.unionByName(rows.where("id is null")).select("row.*")
+    rows = with_digest(docs)
+    pairs = rows.where("id is not null").select("id", "digest").distinct().withColumn("all", F.lit(0))
+    order = [F.col("id").asc(), F.col("digest").asc()]
+    numbers = stored(ranked(stored(pairs, "pairs"), "all", order, "numbers").select("id", "digest", F.col("rank").alias("number")), "numbers")
+    numbered = rows.join(numbers, ["id", "digest"])
+    texts = numbered.select(F.col("number").alias("doc_id"), F.col("row.text").cast("string").alias("text"))
+    kept = stored(_kept(near_components(stored(texts.dropDuplicates(["doc_id"]), "texts"))), "kept")
+    stays = numbered.join(kept, "number").dropDuplicates(["number"])
+    return stays.select("row").unionByName(rows.where("id is null").select("row")).select("row.*")
