@@ -13,7 +13,10 @@ Items with null or wordless text match nothing. Items without an id hit words
 but are not listed; rows that repeat an item count once. Benchmarks are cut into
 blocks of bounded size, each block streams past all documents, and longer items
 overlap from block part to block part, so no window is lost. Null documents
-have no words.
+have no words, texts of any length are streamed whole, and rows that repeat an
+id are judged one by one. An empty table gives no rows, an empty benchmark hits
+nothing, and other columns are not read; ``clean`` carries them unchanged,
+whatever their names.
 """
 
 from __future__ import annotations

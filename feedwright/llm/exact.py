@@ -11,6 +11,8 @@ taken for a member.
 Texts are equal when they are identical after lower-casing A-Z; null counts as
 the empty text. Rows that repeat a ``doc_id`` and its text count as rows of
 their group and share its verdict; a null ``doc_id`` loses against any other.
+Texts of any length are hashed whole, an empty table gives no rows, and other
+columns are not read; ``winners`` carries them unchanged, whatever their names.
 """
 
 from __future__ import annotations

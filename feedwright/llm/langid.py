@@ -13,7 +13,10 @@ positives is known per language (its share of set slots to the power of the
 number of slots read), so each popcount is corrected before the largest wins.
 
 Null texts and texts without a letter are ``und`` with score 0. Ties go to the
-language that sorts first. Whole texts count; no other column is read.
+language that sorts first. Whole texts of any length count. Repeated rows and
+null ids are judged row by row, an empty table gives no rows and teaches no
+language, and columns other than ``doc_id``, ``text`` and, to learn, ``lang`` are
+not read, whatever their names.
 """
 
 from __future__ import annotations

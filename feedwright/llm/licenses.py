@@ -15,7 +15,9 @@ A document that shares no shingle hash with any template cannot verify and is le
 out before it is cut; this loses nothing. A template of fewer
 than five words is one shingle of all its words and found only as the whole of a
 document's words; a template without words is ignored. Null and wordless texts
-match nothing. Repeated rows are reported as one document.
+match nothing. Repeated rows are reported as one document. Texts of any length
+are scanned whole, empty tables give no rows, and columns other than ``doc_id``
+and ``text`` are not read, whatever their names.
 """
 
 from __future__ import annotations

@@ -16,7 +16,10 @@ chain of links counts whatever its length.
 
 Everything is DataFrame work. Edges are counted per pair of hosts before they
 are joined, and every ``STEPS`` steps are a stored table. Null urls and urls without
-``://`` have an empty host and path, fit no rule and are allowed.
+``://`` have an empty host and path, fit no rule and are allowed; null HTML has no
+links. Repeated pages are judged row by row and link as often as they occur.
+Pages of any length are read whole, an empty table gives no rows, and columns
+other than ``page_id``, ``url`` and ``html`` are not read, whatever their names.
 """
 
 from __future__ import annotations

@@ -9,10 +9,12 @@ smaller gap left. Rests come longest first.
 
 Rests are dealt at random to shards of bounded size, and each shard packs
 alone. The bins a shard could not fill are then packed as blocks with those of
-other shards, over rounds with fewer shards, until one round no longer saves.
+other shards, over at most ``ROUNDS`` further rounds with fewer shards.
 
 Null text counts as empty: its only id is the end id. Repeated rows are packed
-as often as they occur.
+as often as they occur, rows without an id like others, and texts of any length
+whole. An empty table gives no pieces, and columns other than ``doc_id`` and
+``text`` are not read, whatever their names.
 """
 
 from __future__ import annotations

@@ -11,7 +11,10 @@ Scoring needs only each bucket's difference of the two outputs, so a document
 costs one look per distinct word. Null and empty texts have no features and get
 the score of a zero vector, which is the learned share of label 1. Whole texts
 count; lang, source and labels are never read for a score. Documents that carry
-both labels learn from the larger share; a tie counts as 1.
+both labels learn from the larger share; a tie counts as 1. Repeated rows and
+null ids are scored row by row. An empty table gives no rows, without labels
+every score is 0.5, and columns other than ``doc_id`` and ``text`` are not read,
+whatever their names.
 """
 
 from __future__ import annotations

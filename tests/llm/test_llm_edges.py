@@ -6,8 +6,22 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from feedwright.llm import decontam, exact, langid, licenses, linkgraph, minmax, packing, pii, quality, substring
-from feedwright.llm.queries import tokenizer_path
+from feedwright.llm import (
+    bytebpe,
+    decontam,
+    exact,
+    langid,
+    licenses,
+    linkgraph,
+    merkle,
+    minmax,
+    packing,
+    pii,
+    prefixes,
+    quality,
+    substring,
+)
+from feedwright.llm.queries import RANKS, tokenizer_path
 
 LONG = " ".join(f"word{i % 5000} the" for i in range(30_000))
 ROWS = [
@@ -59,10 +73,12 @@ def operators(bench, labels):
         "minmax": minmax.near_components,
         "licenses": lambda d: licenses.scan(d, licenses.template_table(d.sparkSession)),
         "quality": lambda d: quality.score(d, quality.learn(d, labels)),
+        "bytebpe": lambda d: bytebpe.digests(bytebpe.encoded(d, tokenizer_path(RANKS), r"\p{L}+|[^\p{L}]", with_bytes=True)),
+        "merkle": lambda d: merkle.verified(merkle.document_manifest(d)),
     }
 
 
-PER_ROW = "langid pii pii_spans decontam substring exact minmax quality".split()
+PER_ROW = "langid pii pii_spans decontam substring exact minmax quality bytebpe merkle".split()
 
 
 @pytest.mark.parametrize("name", [*PER_ROW, "packing", "packed_ids", "licenses"])
@@ -74,6 +90,15 @@ def test_odd_rows_and_no_rows(name, odd, bench, labels):
     assert run(odd.limit(0)).collect() == []
 
 
+def test_conversations_of_odd_rows(spark):
+    rows = [(None, 1, "u", "lost"), (20, None, None, None), (20, 1, "u", ""), (21, None, None, None), (21, 1, "u", ""), (21, 1, "u", "")]
+    table = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    for c in ("a", "b", "depth", "conv", "node", "part", "at", "digest"):
+        table = table.withColumn(c, F.lit("clash"))
+    found = {(r["conv_id"], r["depth"]): r["n_convs"] for r in prefixes.trie(table).collect()}
+    assert found == {(20, 0): 2, (20, 1): 2, (20, 2): 2, (21, 3): 1}
+
+
 def by_id(df, *columns):
     return {(r["doc_id"], *(r[c] for c in columns)) for r in df.collect()}
 
