@@ -5,6 +5,12 @@ texts, then all but one of each component of near-duplicates. Benchmark passages
 are cut out of what is left (a document that is mostly benchmark goes), and the
 rest is packed into token sequences. Every stage keeps the columns of
 ``documents``, extra ones included, but the last, which returns the pieces.
+
+Null, empty and letterless texts are in no language and go with the first stage;
+texts of any length are read whole. Of equal texts the row with the largest
+doc_id stays, of near-duplicates the one with the smallest; rows without an id
+lose against others of their text and are never near-duplicates. Rows that
+repeat an id are judged by their texts. An empty table passes all stages empty.
 """
 
 from __future__ import annotations
