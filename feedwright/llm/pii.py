@@ -10,10 +10,15 @@ far as the characters of its kind reach, and validates what it finds:
   personal part of a URL's authority, up to the host's end.
 * ``account``: an identifier behind a cue: an IBAN with valid check digits, or at
   least six letters and digits with four digits or more among them.
+* ``secret``: a value assigned to a cue such as token, secret or api key: at least
+  16 characters of a key, among them a digit, a letter and eight different ones.
 
 Spans are code points, the end exclusive, ordered by start and then by kind as
 listed. Null counts as empty and has no spans. Whole texts of any length are
-read; each anchor expands over its own run of characters only once.
+read, in time that grows with their length: a run of digits is entered at its
+start only, and blanks behind a cue are passed once. Repeated rows are judged one
+by one, an id may be null, an empty table gives no rows, and columns other than
+``doc_id`` and ``text`` are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -30,7 +35,7 @@ from pyspark.sql import types as T
 from feedwright.llm.common import ASCII_LOWER, doc_columns, slices, texts
 
 BASE_KINDS = ("email", "ip", "card", "phone")
-KINDS = (*BASE_KINDS, "address", "account")
+KINDS = (*BASE_KINDS, "address", "account", "secret")
 
 # The anchors by the parser that expands them.
 ANCHORS = {
@@ -38,18 +43,27 @@ ANCHORS = {
     "digit": tuple("0123456789"),
     "scheme": ("://",),
     "cue": ("iban", "account", "acct", "konto", "cuenta", "compte", "passport", "ssn", "user id", "userid"),
-}
+    "key": (
+        "token", "secret", "password", "passwd", "api key", "api_key", "api-key", "apikey", "access key", "access_key",
+        "accesskey", "private key", "private_key", "credential", "bearer",
+    ),
+}
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 NUMERIC = re.compile(r"[0-9+ ().-]+")
 NUMERIC_CHARS = frozenset("0123456789+ ().-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
+# A match begins where a run of digits begins, so a run that fails is not tried again from its middle.
+IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 SCHEME = re.compile(r"[A-Za-z][A-Za-z0-9+.-]*\Z")
 AUTHORITY = re.compile(r"[A-Za-z0-9._~%!$&'()*+,;=-]+(?::[^\s/@?#]*)?@[A-Za-z0-9.-]+")
-IDENTIFIER = re.compile(r"(?:[ \t]*(?:number|no\.?|nr\.?|id|name))?[ \t]*[:=#]?[ \t]*([A-Za-z0-9][A-Za-z0-9 -]{4,40}[A-Za-z0-9])")
+IDENTIFIER = re.compile(
+    r"[ \t]*+(?:(?:number|no\.?|nr\.?|id|name)[ \t]*+)?[:=#]?[ \t]*+([A-Za-z0-9][A-Za-z0-9 -]{4,40}[A-Za-z0-9])"
+)
+#: What stands between a cue and its value: the rest of a name, a quote, a sign of assignment, a quote again.
+SECRET = re.compile(r"s?(?:[_-][A-Za-z_-]{1,20})?[\"'`]?[ \t]*+(?::=|=>|[:=]|(?<=[Bb]earer )|(?<=BEARER ))[ \t]*+[\"'`]?([A-Za-z0-9_+/=.~-]{16,})")
 
 _MACHINE: list = []
 
@@ -126,7 +140,8 @@ def account_after(text: str, cue_start: int, cue_end: int) -> tuple[int, int] |
     if not m:
         return None
     code = m[1].upper()
-    for n in range(len(code), 14, -1):
+    head = "".join(c for c in code if c.isalnum())[:4]
+    for n in range(len(code), 14, -1) if re.match("[A-Z]{2}[0-9]{2}", head) else ():
         if code[n - 1].isalnum() and iban("".join(c for c in code[:n] if c.isalnum())):
             return m.start(1), m.start(1) + n
     first = re.match(r"[A-Za-z0-9-]+", m[1])[0].rstrip("-")
@@ -135,6 +150,17 @@ def account_after(text: str, cue_start: int, cue_end: int) -> tuple[int, int] |
     return None
 
 
+def secret_after(text: str, cue_start: int, cue_end: int) -> tuple[int, int] | None:
+    if cue_start and text[cue_start - 1].isalnum():
+        return None
+    m = SECRET.match(text, cue_end)
+    if not m:
+        return None
+    value = m[1].rstrip(".")
+    mixed = any("0" <= c <= "9" for c in value) and any(c.isalpha() for c in value)
+    return (m.start(1), m.start(1) + len(value)) if mixed and len(value) >= 16 and len(set(value)) >= 8 else None
+
+
 def find_spans(text: str) -> list[tuple[int, int, str]]:
     """All spans of a text as (start, end, kind)."""
     low = text.lower() if text.isascii() else text.encode().translate(ASCII_LOWER).decode()
@@ -160,9 +186,10 @@ def find_spans(text: str) -> list[tuple[int, int, str]]:
             if found:
                 spans.add((*found, "address"))
         else:
-            found = account_after(text, last + 1 - length, last + 1)
+            expand, kind = (account_after, "account") if parser == "cue" else (secret_after, "secret")
+            found = expand(text, last + 1 - length, last + 1)
             if found:
-                spans.add((*found, "account"))
+                spans.add((*found, kind))
     return sorted(spans, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 
@@ -211,10 +238,9 @@ def mask(text: str, spans: list[tuple[int, int, str]]) -> str:
 
 
 def report(docs: DataFrame) -> DataFrame:
-    """Counts of the base kinds, a digest of their spans, and all spans as text."""
-    schema = (
-        "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string"
-    )
+    """Counts by kind, a digest of the base kinds' spans, and all spans as text."""
+    counts = ", ".join(f"n_{kind} bigint" for kind in KINDS)
+    schema = f"doc_id bigint, {counts}, base_sha256 string, spans string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -222,8 +248,8 @@ def report(docs: DataFrame) -> DataFrame:
                 found = [find_spans(t) for t in texts(b)]
                 base = [[s for s in f if s[2] in BASE_KINDS] for f in found]
                 columns: dict[str, object] = {"doc_id": b.column("doc_id")}
-                for kind in BASE_KINDS:
-                    columns[f"n_{kind}"] = pa.array([sum(s[2] == kind for s in f) for f in base], pa.int64())
+                for kind in KINDS:
+                    columns[f"n_{kind}"] = pa.array([sum(s[2] == kind for s in f) for f in found], pa.int64())
                 shas = [hashlib.sha256(as_text(f).encode()).hexdigest() for f in base]
                 columns |= {"base_sha256": pa.array(shas, pa.string())}
                 columns |= {"spans": pa.array([as_text(f) for f in found], pa.string())}
