@@ -15,6 +15,8 @@ Removed windows that touch or overlap merge into maximal repeats.
 A word is removed if it lies in a window whose word sequence also starts in a
 document with a smaller doc_id. Null has no words. Rows without an id neither
 remove nor lose words. Rows that repeat a ``doc_id`` belong to one document.
+Texts of any length are read whole, an empty table gives no rows, and columns
+other than ``doc_id`` and ``text`` are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -107,9 +109,10 @@ def _marks(rows: DataFrame) -> DataFrame:
         F.max("doc_id").alias("high"),
         ((F.min("a") == F.max("a")) & (F.min("b") == F.max("b"))).alias("single"),
     )
-    shared = shared.where("low < high").select("anchor", "single")
+    # Aggregates are stored before they are joined: a join of two plain shuffles lets Spark split hot anchors.
+    shared = stored(shared.where("low < high").select("anchor", "single"), "shared-anchors")
     repeated = stored(flat.join(shared, "anchor"), "repeated")
-    contents = repeated.groupBy("anchor", "a", "b").agg(F.min("doc_id").alias("owner"))
+    contents = stored(repeated.groupBy("anchor", "a", "b").agg(F.min("doc_id").alias("owner")), "contents")
     judged = repeated.join(contents, ["anchor", "a", "b"]).where("doc_id > owner or not single")
     own = F.struct("start", "n", (F.col("doc_id") > F.col("owner")).alias("copied"))
     return judged.groupBy("doc_id", "sha").agg(F.collect_list(own).alias("marks"))
@@ -138,7 +141,7 @@ def _window_repeats(marked: DataFrame) -> DataFrame:
     open_rows = marked.where(F.exists("marks", lambda m: ~m["copied"]))
     windows = stored(open_rows.mapInArrow(run, schema), "windows")
     owners = windows.groupBy("a", "b").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("high"))
-    owners = owners.where("owner < high").drop("high")
+    owners = stored(owners.where("owner < high").drop("high"), "owners")
     lost = windows.join(owners, ["a", "b"]).where("doc_id > owner")
     return lost.groupBy("doc_id", "sha").agg(F.collect_list("start").alias("starts"))
 
