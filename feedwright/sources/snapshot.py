@@ -28,6 +28,8 @@ from pyspark.sql import types as T
 from feedwright.limits import DEFAULT_LIMITS, Limits
 from feedwright.operators.joining import key_columns, same_keys
 from feedwright.operators.schema import cols, text_schema
+from feedwright.operators.setops import distinct_rows
+from feedwright.operators.sizing import settle
 from feedwright.sources.commits import Commit, CommitLog, Entry, bins
 from feedwright.sources.files import delete_folder, list_names
 from feedwright.sources.readers import empty_frame
@@ -38,6 +40,8 @@ FINGERPRINT = "snapshot_fingerprint"
 _NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 #: Rows that a hash bucket is laid out for; a table twice as full is dealt anew.
 BUCKET_ROWS = 500_000
+#: Buckets, which are folders, that a table has at most; beyond these they hold more rows each.
+MOST_BUCKETS = 512
 #: Bytes of a file that compaction aims at.
 FILE_BYTES = 128 << 20
 
@@ -178,7 +182,8 @@ class Snapshot:
         buckets = 0
         if self._partition == BUCKET:
             # Counted where the caller does not know; the number only sizes the buckets.
-            buckets = max(1, -(-(df.count() if rows is None else rows) // self.bucket_rows))
+            wanted = -(-(df.count() if rows is None else rows) // self.bucket_rows)
+            buckets = max(1, min(wanted, MOST_BUCKETS))
         entries = self._write(self._laid_out(df, buckets), version)
         self.log.write(Commit(version, 0, tuple(entries), buckets))
         return self._folder(version)
@@ -201,12 +206,12 @@ class Snapshot:
             return self.current()
         old = self.log.newest()
         if old is None:
-            return self.replace(clean.distinct())
-        fresh = self._write(self._laid_out(clean.distinct(), old.buckets), old.version)
+            return self.replace(distinct_rows(clean))
+        fresh = self._write(self._laid_out(distinct_rows(clean), old.buckets), old.version)
         return self._next(old, [*(e for e in old.entries if e.part is None or not str(lo) <= e.part <= str(hi)), *fresh])
 
     def _outgrown(self, old: Commit, rows: int) -> bool:
-        return old.rows + rows > 2 * max(1, old.buckets) * self.bucket_rows
+        return old.buckets < MOST_BUCKETS and old.rows + rows > 2 * max(1, old.buckets) * self.bucket_rows
 
     def _touched(self, dealt: DataFrame, old: Commit) -> tuple[list[Entry], list[int]]:
         """Entries whose bucket occurs in ``dealt``, and these buckets: at most as many as the table has."""
@@ -238,13 +243,15 @@ class Snapshot:
         Fingerprints of the touched buckets are read; whole rows only where a
         fingerprint of ``clean`` occurs among them.
         """
-        clean = clean.select(*cols(self.names)).distinct()
+        clean = distinct_rows(clean.select(*cols(self.names)), limits)
         old = self.log.newest()
         if old is None:
             return clean
         dealt = clean.withColumn(FINGERPRINT, self.of_row(self.names)).withColumn(BUCKET, self._bucket(old.buckets))
+        # Written, as buckets, fingerprints and rows of it are all asked for.
+        dealt = settle(dealt, "new-rows").frame
         touched, found = self._touched(dealt, old)
-        past = self._scan(old, touched).where(F.col(BUCKET).isin(found))
+        past = self._scan(old, touched).where(F.col(BUCKET).isNotNull() & F.col(BUCKET).isin(found))
         met = past.select(FINGERPRINT).join(dealt.select(FINGERPRINT).distinct(), FINGERPRINT, "left_semi").distinct()
         alike = dealt.join(met, FINGERPRINT, "left_semi").select(*cols(self.names))
         rows = past.join(met, FINGERPRINT, "left_semi").select(*key_columns(self.names))
