@@ -12,7 +12,8 @@ from feedwright.functions.text import quoted
 from feedwright.limits import DEFAULT_LIMITS, Limits
 from feedwright.operators.joining import attach
 from feedwright.operators.schema import cols
-from feedwright.operators.sizing import measure, settle
+from feedwright.operators.setops import distinct_rows
+from feedwright.operators.sizing import Settled, measure, settle, text_bytes
 
 
 @dataclass(frozen=True)
@@ -69,23 +70,40 @@ def _unique(keys: DataFrame, lookup: Lookup) -> DataFrame:
     return keys.distinct().withColumn("_hit", F.lit(True))
 
 
+def _feed_keys(source: DataFrame, feeds: Sequence[Column]) -> dict[str, Settled]:
+    """The distinct keys of several feed columns, by the column's text, with their rows as ``_n``.
+
+    One pass over the feed counts all columns of one type.
+    """
+    by_type: dict[str, dict[str, Column]] = {}
+    for feed in feeds:
+        by_type.setdefault(source.select(feed).schema[0].dataType.simpleString(), {})[str(feed)] = feed
+    out = {}
+    for same in by_type.values():
+        pairs = F.array(*[F.struct(F.lit(i).alias("_i"), feed.alias("_k0")) for i, feed in enumerate(same.values())])
+        keys = source.select(F.explode(pairs).alias("_p")).groupBy("_p._i", "_p._k0").agg(F.count(F.lit(1)).alias("_n"))
+        frame = settle(keys, "feed-keys", partition_by=["_i"]).frame
+        size = [F.count(F.lit(1)).alias("rows"), F.sum(text_bytes(["_k0"]).cast("bigint")).alias("bytes"), F.sum("_n").alias("members")]
+        # One row per column.
+        found = {r["_i"]: r for r in frame.groupBy("_i").agg(*size).collect()}
+        for i, name in enumerate(same):
+            own = frame.where(F.col("_i") == i).select("_k0", "_n")
+            rows, taken, members = found[i][1:] if i in found else (0, 0, 0)
+            out[name] = Settled(own, rows, taken, {"members": members})
+    return out
+
+
 def _attach_large(
-    df: DataFrame, source: DataFrame, lookup: Lookup, keys: DataFrame, feed: Column, limits: Limits
+    df: DataFrame, counted: Settled, lookup: Lookup, keys: DataFrame, feed: Column, limits: Limits
 ) -> DataFrame:
     """Look up in a master that is too large to broadcast.
 
-    Only the distinct keys of ``source``, the feed before any lookup, meet the
+    Only the distinct keys of the feed before any lookup, ``counted``, meet the
     master; they are narrow and combined before their shuffle. If they are few,
     the master is filtered by them where it lies. Otherwise the orphans go back
     to the wide rows by broadcast if those are few. Failing both, the rows of
     hot keys are split off and the rest is shuffled.
     """
-    counted = settle(
-        source.groupBy(feed.alias("_k0")).agg(F.count(F.lit(1)).alias("_n")),
-        "feed-keys",
-        {"members": F.coalesce(F.sum("_n"), F.lit(0))},
-        sized=True,
-    )
     if limits.allow(counted.rows, counted.bytes):
         few = F.broadcast(counted.frame.select("_k0"))
         return attach(df, _unique(keys.join(few, "_k0", "left_semi"), lookup), [feed], small=True)
@@ -109,14 +127,14 @@ def flag_lookups(df: DataFrame, lookups: Sequence[Lookup], limits: Limits = DEFA
     Each lookup is tested for every row, whatever the others say. One frame of
     flags serves both the kept rows and the errors. A null key never holds.
     """
-    source = df
     masters = [_master_keys(df, lookup) for lookup in lookups]
-    for i, (lookup, keys, size) in enumerate(zip(lookups, masters, measure(masters))):
-        feed, _ = _sides(df, lookup)
+    feeds, sizes = [_sides(df, lookup)[0] for lookup in lookups], measure(masters)
+    counted = _feed_keys(df, [feed for feed, size in zip(feeds, sizes) if not limits.allow(*size)])
+    for i, (lookup, keys, feed, size) in enumerate(zip(lookups, masters, feeds, sizes)):
         if limits.allow(*size):
             df = attach(df, _unique(keys, lookup), [feed], small=True)
         else:
-            df = _attach_large(df, source, lookup, keys, feed, limits)
+            df = _attach_large(df, counted[str(feed)], lookup, keys, feed, limits)
         df = df.withColumn(_ok(i), F.coalesce(F.col("_hit"), F.lit(False))).drop("_hit")
         if lookup.take_spelling:
             df = df.withColumnRenamed("_word", _spelling(i))
@@ -150,17 +168,22 @@ def failed_labels(lookups: Sequence[Lookup]) -> Column:
     return F.array_compact(F.array(*labels))
 
 
-def failed_rows(flagged: DataFrame, lookups: Sequence[Lookup], columns: Sequence[str]) -> DataFrame:
-    """Distinct rows per failed lookup, its label in ``_failed``."""
+def failing_rows(
+    flagged: DataFrame, lookups: Sequence[Lookup], columns: Sequence[str], limits: Limits = DEFAULT_LIMITS
+) -> DataFrame:
+    """Distinct rows for which some lookup fails, with their flags."""
     flags = [F.col(_ok(i)) for i in range(len(lookups))]
+    return distinct_rows(flagged.where(~all_hold(len(lookups))).select(*cols(columns), *flags), limits)
+
+
+def failed_rows(
+    flagged: DataFrame, lookups: Sequence[Lookup], columns: Sequence[str], limits: Limits = DEFAULT_LIMITS
+) -> DataFrame:
+    """Distinct rows per failed lookup, its label in ``_failed``."""
     # The flags follow from the row, so rows are made distinct before each of
     # them turns into one row per failed lookup.
-    return (
-        flagged.where(~all_hold(len(lookups)))
-        .select(*cols(columns), *flags)
-        .distinct()
-        .select(*cols(columns), F.explode(failed_labels(lookups)).alias("_failed"))
-    )
+    failed = failing_rows(flagged, lookups, columns, limits)
+    return failed.select(*cols(columns), F.explode(failed_labels(lookups)).alias("_failed"))
 
 
 def keep_known(df: DataFrame, lookup: Lookup, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
