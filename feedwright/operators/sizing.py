@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from feedwright.functions.text import quoted
-from feedwright.session import scratch_path
+from feedwright.session import keep_folders_open, scratch_path
 
 
 def text_bytes(names: Sequence[str]) -> Column:
@@ -68,6 +68,7 @@ def settle(
     path = scratch_path(spark, purpose)
     writer = df.observe(seen, *wanted).write
     if partition_by:
+        keep_folders_open(spark)
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     found = dict(seen.get)

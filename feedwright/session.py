@@ -40,6 +40,19 @@ def _local_folder(application: str) -> str:
     return tempfile.mkdtemp(prefix=f"feedwright-{application}-")
 
 
+#: Partition folders that a task keeps open while it writes.
+OPEN_FOLDERS = "8"
+
+
+def keep_folders_open(spark: SparkSession) -> None:
+    """Let tasks write to a few partition folders at a time, instead of sorting all their rows by folder first.
+
+    A task with more folders sorts what is left. A session that was told otherwise keeps its setting.
+    """
+    if spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", "0") == "0":
+        spark.conf.set("spark.sql.maxConcurrentOutputFileWriters", OPEN_FOLDERS)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
