@@ -72,7 +72,7 @@ def field_count(line: Column | str, delimiter: str = "|") -> Column:
     """Fields in a delimited line: its delimiters plus one."""
     line = as_column(line)
     without = F.replace(line, F.lit(delimiter), F.lit(""))
-    return ((F.length(line) - F.length(without)) / F.lit(len(delimiter))).cast("int") + F.lit(1)
+    return ((F.octet_length(line) - F.octet_length(without)) / F.lit(len(delimiter.encode()))).cast("int") + F.lit(1)
 
 
 def rebind(df: DataFrame, names: Sequence[str]) -> DataFrame:

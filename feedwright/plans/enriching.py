@@ -10,10 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedwright.functions.dates import RunClock
-from feedwright.functions.text import dataset_name, quoted
+from feedwright.functions.text import dataset_name, quoted, row_text
 from feedwright.limits import DEFAULT_LIMITS, Limits
 from feedwright.operators.coverage import missing_weeks, unreadable_count
-from feedwright.operators.lookups import Lookup, all_hold, failed_rows, flag_lookups, with_spelling
+from feedwright.operators.lookups import Lookup, all_hold, failed_labels, failing_rows, flag_lookups, with_spelling
 from feedwright.operators.merge import per_file, upsert
 from feedwright.operators.records import (
     BAD_KEY,
@@ -80,7 +80,9 @@ def clean_rows(judged: DataFrame, spec: FeedSpec, lookups: list[Lookup], *extra:
     return kept.select(*cols([*spec.row_columns, *extra]))
 
 
-def judged_errors(judged: DataFrame, spec: FeedSpec, lookups: list[Lookup]) -> DataFrame:
+def judged_errors(
+    judged: DataFrame, spec: FeedSpec, lookups: list[Lookup], limits: Limits = DEFAULT_LIMITS
+) -> DataFrame:
     """Error records of every check.
 
     Bad and repeated keys report each row; failed lookups report each distinct
@@ -99,13 +101,15 @@ def judged_errors(judged: DataFrame, spec: FeedSpec, lookups: list[Lookup]) -> D
     records = error_records(own, dataset, reason, spec.row_columns)
     if lookups:
         tested = rejected.where("_go and not _repeated")
-        failed = failed_rows(tested, lookups, carried)
+        # Distinct by their columns, as the flags follow from these.
+        failed = failing_rows(tested, lookups, carried, limits)
+        text, columns = F.lit(LOOKUP.format(spec.lookup_text)), spec.row_columns
         if spec.is_fact:
-            text = F.format_string(FACT_LOOKUP.replace("{}", "%s"), F.col("_failed"))
-        else:
-            failed = failed.drop("_failed").distinct()
-            text = F.lit(LOOKUP.format(spec.lookup_text))
-        records = union_all(records, error_records(failed, dataset, text, spec.row_columns))
+            # The text of a row is made once, not again for each lookup that fails.
+            rows = failed.select(row_text(cols(columns)).alias("_row"), failed_labels(lookups).alias("_labels"))
+            failed = rows.select("_row", F.explode("_labels").alias("_failed"))
+            text, columns = F.concat(F.lit(FACT_LOOKUP.format("")), F.col("_failed")), ["_row"]
+        records = union_all(records, error_records(failed, dataset, text, columns))
     return records.distinct() if spec.distinct_errors else records
 
 
@@ -118,7 +122,9 @@ def settle_judged(judged: DataFrame, spec: FeedSpec) -> Settled:
     clean = F.col("_clean")
     metrics = {"processed": F.count_if(clean)}
     if spec.is_fact:
-        day = F.when(clean, spec.day())
+        # Read once: the counts beside a write evaluate each use of an expression anew.
+        judged = judged.withColumn("_day", spec.day())
+        day = F.when(clean, F.col("_day"))
         metrics |= {"first_day": F.min(day), "last_day": F.max(day)}
     return settle(judged, "judged", metrics, partition_by=["_clean"])
 
@@ -220,7 +226,7 @@ def _enrich(df, spec, specs, zones, run_id, clock, limits) -> RunResult:
     else:
         write_increment(clean, zones.increments(spec.name), run_id)
         merge_clean(clean, spec, snapshot_of(spark, spec, zones), found, limits)
-    errors = judged_errors(found.frame, spec, lookups)
+    errors = judged_errors(found.frame, spec, lookups, limits)
     write_errors(errors, zones.error_records, clock.day, spec.output_name, run_id)
     received, processed = found.rows, found.metrics["processed"]
     started, ended = clock.timestamp, RunClock().timestamp

@@ -36,7 +36,7 @@ from feedwright.operators.schema import (
 from feedwright.operators.setops import union_all
 from feedwright.plans.spec import FeedSpec
 from feedwright.plans.zones import Zones
-from feedwright.session import scratch_path, scratch_run
+from feedwright.session import keep_folders_open, scratch_path, scratch_run
 from feedwright.sources.files import File, delete_folder, exists, glob_files
 from feedwright.sources.readers import file_name, read_lines, read_piped, read_typed_csv
 from feedwright.sources.record_scan import parsed, quote_parity, read_records
@@ -113,7 +113,7 @@ def scan_files(spark: SparkSession, spec: FeedSpec, files: Sequence[File]) -> di
         F.min_by("value", "place").alias("first_line"),
         F.count_if(fields != spec.width).alias("off"),
         (F.min_by(fields, "place") == spec.width).alias("first_fits"),
-        F.sum(quote_parity("value")).alias("broken"),
+        (F.lit(0) if spec.piped else F.sum(quote_parity("value"))).alias("broken"),
         F.sha2(F.concat_ws(":", *[c.cast("string") for c in sums]), 256).alias("digest"),
     )
     by_path = {plain_path(unquote(r["path"])): r for r in found.collect()}
@@ -123,7 +123,7 @@ def scan_files(spark: SparkSession, spec: FeedSpec, files: Sequence[File]) -> di
     for f in files:
         r = by_path.get(plain_path(f.path))
         out[f.path] = nothing if r is None else Scanned(
-            r["rows"] - header, r["first_line"], r["off"], r["first_fits"], 0 if spec.piped else r["broken"], r["digest"]
+            r["rows"] - header, r["first_line"], r["off"], r["first_fits"], r["broken"], r["digest"]
         )
     return out
 
@@ -300,6 +300,7 @@ def _write(
     if not paths and records is None:
         delete_folder(spark, target)
         return
+    keep_folders_open(spark)
     if spec.piped:
         lines = read_lines(spark, paths).select(strip_line_quotes("value").alias("value"), file_id(parts).alias("file"))
         lines.write.mode("overwrite").partitionBy("file").text(target)

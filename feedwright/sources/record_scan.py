@@ -29,7 +29,8 @@ MOST_LINES = 20_000
 def quote_parity(line: Column | str) -> Column:
     """1 where a line holds an odd number of double quotes."""
     line = F.col(line) if isinstance(line, str) else line
-    return F.pmod(F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit(""))), F.lit(2)).cast("bigint")
+    quotes = F.octet_length(line) - F.octet_length(F.replace(line, F.lit('"'), F.lit("")))
+    return F.pmod(quotes, F.lit(2)).cast("bigint")
 
 
 def numbered_lines(lines: DataFrame) -> DataFrame:
