@@ -40,6 +40,15 @@ def same_keys(exprs: Sequence[Column], null_safe: bool) -> Column:
     return reduce(lambda a, b: a & b, [e.eqNullSafe(k) if null_safe else e == k for e, k in pairs])
 
 
+def shuffled(table: DataFrame) -> DataFrame:
+    """``table`` for a join that must not broadcast it: it was counted and is large.
+
+    Left to itself Spark goes by the bytes of files, divided among all their columns. A key beside columns
+    that are mostly null or repeated seems tiny then, and millions of rows would be sent to the driver.
+    """
+    return table.hint("merge")
+
+
 def attach(
     df: DataFrame,
     table: DataFrame,
@@ -58,11 +67,11 @@ def attach(
     if small:
         return df.join(F.broadcast(table), on, "left").drop(*keys)
     if hot is None:
-        return df.join(table, on, "left").drop(*keys)
+        return df.join(shuffled(table), on, "left").drop(*keys)
     few = F.broadcast(hot.select(*keys, F.lit(True).alias("_hot")))
     spread = F.when(F.col("_hot"), F.pmod(F.xxhash64(*[F.col(quoted(c)) for c in df.columns]), F.lit(SALTS)))
     salted = df.join(few, on, "left").withColumn("_salt", F.coalesce(spread.cast("int"), F.lit(0))).drop(*keys, "_hot")
     same = reduce(lambda a, b: a & b, [F.col(f"t.{k}").eqNullSafe(F.col(f"h.{k}")) for k in keys])
     salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
     repeated = table.alias("t").join(few.alias("h"), same, "left").select("t.*", F.explode(salts).alias("_part"))
-    return salted.join(repeated, on & (F.col("_salt") == F.col("_part")), "left").drop(*keys, "_salt", "_part")
+    return salted.join(shuffled(repeated), on & (F.col("_salt") == F.col("_part")), "left").drop(*keys, "_salt", "_part")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from feedwright.functions.text import quoted
 from feedwright.limits import DEFAULT_LIMITS, Limits
-from feedwright.operators.joining import attach
+from feedwright.operators.joining import attach, shuffled
 from feedwright.operators.schema import cols
 from feedwright.operators.setops import distinct_rows
 from feedwright.operators.sizing import Settled, measure, settle, text_bytes
@@ -109,7 +109,7 @@ def _attach_large(
         return attach(df, _unique(keys.join(few, "_k0", "left_semi"), lookup), [feed], small=True)
     known = _unique(keys, lookup).withColumnRenamed("_k0", "_m0")
     judged = settle(
-        counted.frame.join(known, F.col("_k0") == F.col("_m0"), "left").drop("_m0"), "key-verdicts"
+        counted.frame.join(shuffled(known), F.col("_k0") == F.col("_m0"), "left").drop("_m0"), "key-verdicts"
     ).frame
     if not lookup.take_spelling:
         orphans = judged.where("_hit is null").select("_k0", F.lit(True).alias("_orphan"))

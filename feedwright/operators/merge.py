@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from feedwright.functions.dates import CONFORMED_FORMATS, parse_date
 from feedwright.functions.text import quoted
 from feedwright.limits import DEFAULT_LIMITS, Limits
-from feedwright.operators.joining import key_columns, same_keys
+from feedwright.operators.joining import key_columns, same_keys, shuffled
 from feedwright.operators.rules import outside_range
 from feedwright.operators.schema import cols
 from feedwright.operators.setops import union_distinct
@@ -55,8 +55,7 @@ def without_keys(
     """
     wanted = clean.select(*key_columns(keys))
     (rows, size), = measure([wanted])
-    if limits.allow(rows, size):
-        wanted = F.broadcast(wanted)
+    wanted = F.broadcast(wanted) if limits.allow(rows, size) else shuffled(wanted)
     return history.join(wanted, same_keys(cols(keys), null_safe=False), "left_anti")
 
 

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from feedwright.limits import Limits
+from feedwright.operators import joining, merge
 from feedwright.operators import lookups as lk
 from feedwright.operators.records import FACT_LOOKUP
 from feedwright.operators.setops import distinct_rows
@@ -102,6 +103,32 @@ def test_keys_of_all_large_masters_are_counted_in_one_pass(spark, text, monkeypa
     assert empty.count() == 0
 
 
+def test_tables_beyond_the_limits_are_never_broadcast(spark, text, tmp_path, monkeypatch):
+    # One key beside many empty columns: by the bytes of its file such a table looks small enough to broadcast.
+    wide = text(["k"], [(str(i),) for i in range(300)]).select("k", *[F.lit(None).cast("string").alias(f"c{i}") for i in range(60)])
+    wide.write.parquet(str(tmp_path / "wide"))
+    wide = spark.read.parquet(str(tmp_path / "wide"))
+    plans = []
+
+    def noted(df, purpose, *a, **b):
+        plans.append((purpose, df._jdf.queryExecution().executedPlan().toString()))
+        return settle(df, purpose, *a, **b)
+
+    monkeypatch.setattr(lk, "settle", noted)
+    feed = text(["k", "x"], [(str(i % 400), None) for i in range(900)] + [(None, "1")])
+    once = wide.withColumn("c0", F.lit("new"))
+    history = text(wide.columns, [(str(i), *["old"] * 60) for i in range(290, 310)])
+    merged = merge.upsert(history, once, ["k"], distinct=False, limits=NONE)
+    assert merged.where("c0 = 'new'").count() == 300 and merged.where("c0 = 'old'").count() == 10
+    flagged = lk.flag_lookups(feed, [lk.Lookup("k", wide, "k")], NONE)
+    assert counted(flagged.groupBy("_ok0").count()) == Counter([(True, 700), (False, 201)])
+    plain = joining.attach(feed, wide.select(F.col("k").alias("_k0"), F.lit(1).alias("_n")), [F.col("k")], small=False)
+    assert plain.where("_n = 1").count() == 700
+    plans += [(n, df._jdf.queryExecution().executedPlan().toString()) for n, df in (("merged", merged), ("plain", plain))]
+    assert {n for n, _ in plans} == {"feed-keys", "key-verdicts", "merged", "plain"}
+    assert [n for n, plan in plans if "Broadcast" in plan] == []
+
+
 def test_fact_errors_name_each_failed_lookup_of_a_row_once(spark, text, tmp_path):
     spec = FeedSpec(
         "f", "/Raw/f*", 3, "range", ("d", "x", "y"), keys=("x",), range_date="d",
