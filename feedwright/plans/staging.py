@@ -173,7 +173,9 @@ def _placed(spark: SparkSession, book: Snapshot, rows: list[tuple], run_id: str)
 def _enter(spark: SparkSession, book: Snapshot, accepted: list[tuple], run_id: str) -> None:
     """Enter a run's accepted files; files that it staged before and no longer accepts are withdrawn."""
     now = spark.createDataFrame([(*a, run_id, PROCESSED) for a in accepted], text_schema(LEDGER))
-    gone = book.read().where((F.col("run") == run_id) & (F.col("verdict") == PROCESSED)).join(now, "path", "left_anti")
+    held = book.read().where((F.col("run") == run_id) & (F.col("verdict") == PROCESSED))
+    # As many rows as files were accepted.
+    gone = held.join(F.broadcast(now), "path", "left_anti")
     rows = gone.withColumn("verdict", F.lit(WITHDRAWN)).select(*LEDGER).unionByName(now).collect()
     if rows:
         book.upsert(spark.createDataFrame(rows, text_schema(LEDGER)), len(rows))
